@@ -6,8 +6,9 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -88,21 +89,18 @@ def write_split(df: DataFrame, gate: Gate, path: str, fmt: str = "parquet") -> d
     return dict(seen.get)
 
 
-def read_half(spark, path: str, schema, valid: bool, fmt: str = "parquet") -> DataFrame:
+def read_half(spark: SparkSession, path: str, schema: StructType, valid: bool, fmt: str = "parquet") -> DataFrame:
     """One half of a table written by ``write_split``; an absent half is an empty frame.
 
     ``schema`` is the schema without the flag. Filtering on the partition folder reads only that half.
     """
     flag = "true" if valid else "false"
-    both = spark.read.format(fmt).schema(f"{_ddl(schema)}, is_valid string").load(path)
+    with_flag = StructType([*schema.fields, StructField("is_valid", StringType())])
+    both = spark.read.format(fmt).schema(with_flag).load(path)
     half = both.filter(F.col("is_valid") == flag)
     return half.drop("is_valid") if valid else half.withColumn("is_valid", F.lit(False))
 
 
-def _ddl(schema) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-
-
 def audit(named: dict[str, tuple[DataFrame, Gate]]) -> DataFrame:
     """Rows per table and status; every source is scanned once."""
     parts = []

@@ -14,6 +14,7 @@ from shopfloor.functions.rounding import steady
 from shopfloor.operators import gates, health, history, learning, losses, marts, merge, ordering, telemetry
 from shopfloor.plans.bindings import LEARNING_FEATURES, LEARNING_KEYS, Plant
 from shopfloor.plans.oracle import ORACLE
+from shopfloor.plans.warehouse import Warehouse, merge_tiers
 from shopfloor.session import stage, work_folder
 from shopfloor.sources import catalog, files
 from shopfloor.sources.versioned import VersionedTable
@@ -290,25 +291,10 @@ def q_scd2_apply(p: Plant) -> DataFrame:
 @query
 def q_scd2_merge(p: Plant) -> DataFrame:
     """Close versions whose tier changed, then re-open them by INSERT ... SELECT on the same table."""
-    spark, tag = p.spark, uuid.uuid4().hex[:12]
-    closed = merge.merge_df(
-        _first_version(p),
-        p.snapshot(1),
-        ["machine_id"],
-        update={"is_current": F.lit(False), "valid_to": F.lit(SECOND_LOAD).cast("date")},
-        when=F.col("t.maintenance_tier") != F.col("s.maintenance_tier"),
-        on=F.col("t.is_current"),
-    )
-    dim = f"dim_machine_scd2_{tag}"
-    catalog.create(closed, dim, work_folder(spark, "scd2-merge"))
-    p.snapshot(1).createOrReplaceTempView(f"machine_updates_{tag}")
-    spark.sql(
-        f"""INSERT INTO {dim}
-            SELECT u.*, DATE '{SECOND_LOAD}', CAST(NULL AS DATE), true
-            FROM machine_updates_{tag} u JOIN {dim} t
-              ON u.machine_id = t.machine_id AND NOT t.is_current AND t.valid_to = DATE '{SECOND_LOAD}'"""
-    )
-    return spark.table(dim)
+    name = f"dim_machine_scd2_{uuid.uuid4().hex[:12]}"
+    store = Warehouse(p.spark, work_folder(p.spark, "scd2-merge"))
+    store.save(_first_version(p), name)
+    return merge_tiers(store, name, p.snapshot(1), SECOND_LOAD)
 
 
 @query
@@ -424,10 +410,10 @@ def q_stream_bronze(p: Plant) -> DataFrame:
     """Two landings and three ingest calls: every file is taken once."""
     base = work_folder(p.spark, "stream-bronze")
     events = p.table("events").select("event_id", F.col("user_id").alias("machine_id"), "event_type", "value")
-    stream = landed_json(p.spark, f"{base}/landing", events.schema)
     for landing in ("event_type IN ('view', 'click')", "event_type NOT IN ('view', 'click')", None):
         if landing:
             events.filter(landing).write.mode("append").json(f"{base}/landing")
+        stream = landed_json(p.spark, f"{base}/landing", events.schema)
         ingest_available(stream, f"{base}/table", f"{base}/checkpoint")
     return p.spark.read.parquet(f"{base}/table").select(*events.columns)
 
@@ -442,9 +428,9 @@ def q_stream_upsert(p: Plant) -> DataFrame:
     revised = orders.filter("o_orderkey % 4 = 0").withColumns(
         {"o_orderstatus": F.lit("C"), "revision": F.lit(2).cast("bigint")}
     )
-    stream = landed_json(p.spark, f"{base}/landing", orders.schema, lineage=False)
     for landing in (orders, revised):
         landing.write.mode("append").json(f"{base}/landing")
+        stream = landed_json(p.spark, f"{base}/landing", orders.schema, lineage=False)
         upsert_available(stream, f"{base}/orders", ["o_orderkey"], "o_year", f"{base}/checkpoint", ["revision"])
     return p.spark.read.schema(orders.schema).parquet(f"{base}/orders")
 
