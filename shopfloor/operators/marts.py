@@ -15,6 +15,7 @@ from shopfloor.operators.ordering import with_ranks
 from shopfloor.session import stage
 
 PLANNED = "planned_production_min"
+RATIOS = ("availability", "performance", "quality", "oee")
 
 
 def run_oee(runs: DataFrame, products: DataFrame, planned: str = PLANNED, strict: bool = False) -> DataFrame:
@@ -40,25 +41,30 @@ def run_oee(runs: DataFrame, products: DataFrame, planned: str = PLANNED, strict
     )
 
 
-def oee_by_machine(oee: DataFrame, machines: DataFrame, rnd: Rounder = half_up) -> DataFrame:
-    """Mean KPIs and totals per machine, with the machine's current attributes.
+def machine_totals(oee: DataFrame, rnd: Rounder = half_up) -> DataFrame:
+    """Mean KPIs and totals per machine.
 
     Means are over runs and unweighted; the scrap rate is a ratio of sums.
     """
     totals = oee.groupBy("machine_id").agg(
-        *[rnd(F.avg(c), 3).alias(f"avg_{c}") for c in ("availability", "performance", "quality", "oee")],
+        *[rnd(F.avg(c), 3).alias(f"avg_{c}") for c in RATIOS],
         F.sum("downtime_min").alias("total_downtime_min"),
         F.sum("total_units").alias("total_units"),
         F.sum("scrap_units").alias("total_scrap"),
     )
-    rated = totals.withColumn("scrap_rate", rnd(F.try_divide(F.col("total_scrap"), F.col("total_units")), 3))
-    return rated.join(machines.select("machine_id", "machine_name", "line", "machine_type"), "machine_id", "left")
+    return totals.withColumn("scrap_rate", rnd(F.try_divide(F.col("total_scrap"), F.col("total_units")), 3))
+
+
+def oee_by_machine(oee: DataFrame, machines: DataFrame, rnd: Rounder = half_up) -> DataFrame:
+    """The machine totals with the machine's current attributes."""
+    attributes = machines.select("machine_id", "machine_name", "line", "machine_type")
+    return machine_totals(oee, rnd).join(attributes, "machine_id", "left")
 
 
 def oee_by_machine_basic(oee: DataFrame, machines: DataFrame, rnd: Rounder = half_up) -> DataFrame:
     """The same mart in its second column layout: unprefixed KPIs, the whole machine row, no unit totals."""
     totals = oee.groupBy("machine_id").agg(
-        *[rnd(F.avg(c), 3).alias(c) for c in ("availability", "performance", "quality", "oee")],
+        *[rnd(F.avg(c), 3).alias(c) for c in RATIOS],
         F.sum("downtime_min").alias("total_downtime_min"),
         rnd(F.try_divide(F.sum("scrap_units"), F.sum("total_units")), 3).alias("scrap_rate"),
     )

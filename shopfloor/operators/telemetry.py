@@ -92,11 +92,16 @@ def amplify_seed(
 
     Every reading is repeated ``copies`` times inside its own row (no join), put on a machine, and
     kept if its wear percentile lies near the machine's ill-health, else with ``far_share`` odds.
-    The three ``pick_*`` columns default to seeded random draws and may refer to ``copy_no``.
+    The three ``pick_*`` columns may refer to ``copy_no``. They default to even draws hashed from
+    the row, the copy and ``seed_value``, which come out the same when a lost task is run again.
     """
-    machine = pick_machine if pick_machine is not None else F.floor(F.rand(seed_value) * n_machines) + 1
-    share = pick_share if pick_share is not None else F.rand(seed_value + 1)
-    day = pick_day if pick_day is not None else F.floor(F.rand(seed_value + 2) * 90).cast("int")
+
+    def draw(no: int) -> Column:
+        return F.pmod(F.xxhash64(*seed.columns, "copy_no", F.lit(seed_value + no)), F.lit(2**53)) / float(2**53)
+
+    machine = pick_machine if pick_machine is not None else F.floor(draw(0) * n_machines) + 1
+    share = pick_share if pick_share is not None else draw(1)
+    day = pick_day if pick_day is not None else F.floor(draw(2) * 90).cast("int")
     ranked = with_ranks(seed, "tool_wear", percent_rank="wear_pct")
     copied = ranked.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     placed = lookup_join(

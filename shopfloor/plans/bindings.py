@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopfloor.functions.cleaning import parsed_timestamp, standard_code
 from shopfloor.operators.gates import QUALITY_GATE, RUN_GATE, SENSOR_GATE, accepted
@@ -13,14 +14,20 @@ from shopfloor.operators.marts import run_oee
 from shopfloor.operators.telemetry import clean_readings
 
 
+# Schemas of the tables opened so far, by path; reading them from the files takes a job each.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Plant:
     """Plant tables bound to one folder of Parquet tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def machines(self) -> DataFrame:
         placed = (

@@ -92,11 +92,10 @@ def q_load_audit(p: Plant) -> DataFrame:
 @query
 def q_run_oee(p: Plant) -> DataFrame:
     oee = p.run_oee()
-    ratios = ("availability", "performance", "quality", "oee")
     return oee.select(
         "run_date", "machine_id", "product_id", "shift", "downtime_min", "total_units", "good_units",
         "ideal_cycle_time_sec", "run_time_min", "scrap_units",
-        *[steady(F.col(c), 6).alias(c) for c in ratios],
+        *[steady(F.col(c), 6).alias(c) for c in marts.RATIOS],
     )
 
 
@@ -196,8 +195,9 @@ def q_wear_by_machine(p: Plant) -> DataFrame:
 
 @query
 def q_machine_health(p: Plant) -> DataFrame:
+    totals = marts.machine_totals(p.run_oee(), steady)
     return health.machine_health(
-        p.machines(), _mart(p), p.silver_sensors(), p.silver_quality(), steady
+        p.machines(), totals, p.silver_sensors(), p.silver_quality(), steady
     ).orderBy("machine_id")
 
 
@@ -236,7 +236,7 @@ def q_oee_vs_risk(p: Plant) -> DataFrame:
 
 @query
 def q_overall_oee(p: Plant) -> DataFrame:
-    return marts.overall_oee(_mart(p), rnd=steady)
+    return marts.overall_oee(marts.machine_totals(p.run_oee(), steady), rnd=steady)
 
 
 @query

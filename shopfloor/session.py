@@ -18,6 +18,9 @@ _SETTINGS = {
 }
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def get_spark(app_name: str, master: str | None = None, extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session.
 
@@ -42,9 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_KEY} to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="shopfloor-")
-    spark.conf.set(SHARED_DIR_KEY, own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="shopfloor-")
+    return _own_dirs[app]
 
 
 def work_folder(spark: SparkSession, label: str) -> str:

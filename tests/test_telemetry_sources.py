@@ -109,6 +109,7 @@ def test_amplified_readings_follow_health(spark):
     wear = {r[0]: r[1] for r in got.groupBy("machine_id").agg(F.avg("tool_wear_min")).collect()}
     assert wear[1] < wear[2]
     assert got.columns == ["machine_id", "reading_date", "temperature_c", "rotational_speed_rpm", "torque_nm", "tool_wear_min", "machine_failure"]
+    assert sorted(map(str, telemetry.amplify_seed(seed, health, **args).collect())) == sorted(map(str, got.collect()))
     all_kept = telemetry.amplify_seed(seed, health, far_share=1.1, **args)
     assert all_kept.count() == 2000
 
@@ -166,3 +167,26 @@ def test_stage_uses_the_folder_the_session_names(spark):
     assert staged.inputFiles()[0].startswith("file://" + shared_dir(spark))
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert work_folder(spark, "a") != work_folder(spark, "a")
+
+
+def test_without_a_shared_folder_only_a_local_session_gets_its_own(monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        applicationId = "app-1"
+        master = "local[2]"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    local = shared_dir(Session())
+    assert local == shared_dir(Session())
+    Context.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
