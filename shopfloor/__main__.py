@@ -11,8 +11,8 @@ from shopfloor.session import get_spark
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shopfloor")
-    parser.add_argument("step", choices=["bronze", "silver", "history", "gold", "all", "predict"])
-    parser.add_argument("--landing", help="folder with mes/, sensors/ and quality/ (bronze, all)")
+    parser.add_argument("step", choices=["bronze", "ingest", "silver", "history", "gold", "all", "predict"])
+    parser.add_argument("--landing", help="folder with mes/, sensors/ and quality/ (bronze, ingest, all)")
     parser.add_argument("--lake", help="root folder of the layers")
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--infer", action="store_true", help="infer JSON schemas instead of using the contracts")
@@ -30,11 +30,13 @@ def main(argv: list[str] | None = None) -> None:
         for table in (report.balance, report.duplicates, report.metrics, report.importances):
             table.show(truncate=False)
         return
-    if not args.lake or (args.step in ("bronze", "all") and not args.landing):
-        parser.error("--lake is needed, and --landing for bronze and all")
+    if not args.lake or (args.step in ("bronze", "ingest", "all") and not args.landing):
+        parser.error("--lake is needed, and --landing for bronze, ingest and all")
     lake = medallion.Lake(args.lake, args.format)
     if args.step in ("bronze", "all"):
         print("bronze", medallion.bronze(spark, args.landing, lake, args.infer))
+    if args.step == "ingest":
+        medallion.bronze_incremental(spark, args.landing, lake)
     if args.step in ("silver", "all"):
         print("silver", medallion.silver(spark, lake))
     if args.step in ("history", "all"):

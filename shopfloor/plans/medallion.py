@@ -14,6 +14,7 @@ from shopfloor.operators import gates, health, history, marts
 from shopfloor.operators.telemetry import clean_readings
 from shopfloor.sources import files
 from shopfloor.sources.versioned import VersionedTable
+from shopfloor.streaming.ingest import ingest_available, landed_json
 
 
 @dataclass(frozen=True)
@@ -57,6 +58,16 @@ def bronze(spark: SparkSession, landing: str, lake: Lake, infer: bool = False) -
     return landed
 
 
+def bronze_incremental(spark: SparkSession, landing: str, lake: Lake) -> None:
+    """Append only the files that landed since the last call, each exactly once.
+
+    The state lies in the lake. A bronze table is fed either this way or by ``bronze``, not by both.
+    """
+    for name, (folder, pattern, contract) in SOURCES.items():
+        stream = landed_json(spark, f"{landing.rstrip('/')}/{folder}", contract, pattern)
+        ingest_available(stream, lake.path("bronze", name), lake.path("_checkpoints", name), lake.fmt)
+
+
 def _gated(spark: SparkSession, lake: Lake) -> dict[str, tuple[DataFrame, gates.Gate]]:
     quality = lake.read(spark, "bronze", "quality").withColumns(
         {"inspected_ts": parsed_timestamp(F.col("inspected_ts")), "result": standard_code(F.col("result"))}

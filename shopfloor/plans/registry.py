@@ -383,7 +383,9 @@ def _seed_file(p: Plant) -> str:
 
 @query
 def q_csv_seed_scan(p: Plant) -> DataFrame:
-    return files.read_seed_csv(p.spark, _seed_file(p))
+    seed = files.read_seed_csv(p.spark, _seed_file(p))
+    # Inference picks int or bigint by the values; settle it, whatever the size of the data.
+    return seed.withColumns({c: F.col(c).cast("bigint") for c in ("udi", "rot_speed", "tool_wear")})
 
 
 @query

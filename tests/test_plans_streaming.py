@@ -72,6 +72,18 @@ def test_lake_end_to_end(spark, landing, tmp_path):
     assert table.read().filter("machine_id = 'M01'").count() == 2 and table.read(0).count() == 4
 
 
+def test_incremental_bronze(spark, landing, tmp_path):
+    lake = medallion.Lake(f"{tmp_path}/lake")
+    medallion.bronze_incremental(spark, str(landing), lake)
+    assert lake.read(spark, "bronze", "mes_runs").count() == 23
+    _write(landing / "mes/runs_2024-01-03.json", [_run(23)])
+    for _ in range(2):
+        medallion.bronze_incremental(spark, str(landing), lake)
+        assert lake.read(spark, "bronze", "mes_runs").count() == 24
+        assert lake.read(spark, "bronze", "dim_machines").count() == 4
+    assert medallion.silver(spark, lake)["mes_runs"] == {"valid": 22, "quarantine": 2}
+
+
 def test_command_line(spark, landing, tmp_path, capsys, monkeypatch):
     main(["all", "--landing", str(landing), "--lake", f"{tmp_path}/lake", "--effective", "2024-01-01", "--infer"])
     out = capsys.readouterr().out
