@@ -31,12 +31,13 @@ def lookup_join(
     how: str = "left",
     residual: Column | None = None,
     null_safe: bool = False,
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_share: float = HOT_SHARE,
+    broadcast_rows: int | None = None,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Inner or left join ``fact`` to ``lookup``, whichever size the lookup and whichever skew the fact has.
 
-    * The lookup is counted; up to ``broadcast_rows`` rows it is broadcast and the fact does not move.
+    * The lookup is counted; up to ``broadcast_rows`` rows (``BROADCAST_ROWS`` unless given) it is
+      broadcast and the fact does not move.
     * Beyond that, fact rows of heavy keys (and of NULL keys) are joined to just their lookup rows,
       which are broadcast after a second count; all other rows take a shuffled join.
 
@@ -45,10 +46,11 @@ def lookup_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how}")
+    broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     if lookup.count() <= broadcast_rows:
         return _join(fact, F.broadcast(lookup), keys, how, residual, null_safe)
 
-    hot = heavy_keys(fact.select(*keys), keys, hot_share)
+    hot = heavy_keys(fact.select(*keys), keys, HOT_SHARE if hot_share is None else hot_share)
     hot_lookup = lookup.join(F.broadcast(hot), _equal(lookup, hot, keys, True), "left_semi")
     if hot_lookup.count() > broadcast_rows:
         return _join(fact, lookup, keys, how, residual, null_safe)

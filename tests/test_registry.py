@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from shopfloor.operators import joins
 from tests.oracle_check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -24,6 +25,20 @@ def test_query_agrees_with_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
+LARGE_LOOKUPS = ["q_run_oee", "q_rank_in_line", "q_wear_percent_rank", "q_replicate_thin", "q_scd2_as_of", "q_fact_upsert", "q_stratified_split"]
+
+
+@pytest.mark.parametrize("name", LARGE_LOOKUPS)
+def test_query_agrees_when_no_lookup_may_be_broadcast(spark, con, monkeypatch, name):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(joins, "HOT_SHARE", 1 / 40)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "machine_id" and df.count() > 0
