@@ -1 +1 @@
-"""Plant-KPI lakehouse jobs written with the Spark DataFrame API."""
+"""Plant analytics written with the Spark DataFrame API."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of the temperature conversion and the risk index.
 KELVIN_OFFSET = 273.15
 MAX_AGE_YEARS = 18
 RISK_WEIGHTS = {"oee": 0.5, "age": 0.3, "fail_rate": 0.2}

@@ -346,7 +346,7 @@ def q_bronze_lineage(p: Plant) -> DataFrame:
     return landed.agg(
         F.count("*").alias("row_count"),
         F.count("_ingest_time").alias("with_time"),
-        F.count_if(F.col("_source_file").contains(base)).alias("with_file"),
+        F.count_if(F.col("_source_file").contains(base.rsplit("/", 1)[-1])).alias("with_file"),
         F.count_distinct("machine_id").alias("machines"),
     )
 

@@ -93,7 +93,7 @@ def test_command_line(spark, landing, tmp_path, capsys, monkeypatch):
 
 
 def test_warehouse_end_to_end(spark, tmp_path):
-    catalog.use(spark, "manufacturing_test")
+    catalog.use(spark, "plant_tables_test")
     try:
         store = Warehouse(spark, f"{tmp_path}/wh")
         machines = spark.createDataFrame(
@@ -131,7 +131,7 @@ def test_warehouse_end_to_end(spark, tmp_path):
         assert not catalog.exists(spark, "gold_failure_risk")
     finally:
         catalog.use(spark, "default")
-        spark.sql("DROP SCHEMA manufacturing_test CASCADE")
+        spark.sql("DROP SCHEMA plant_tables_test CASCADE")
 
 
 def test_prediction_report(spark, tmp_path):
