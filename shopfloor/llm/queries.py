@@ -8,13 +8,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import byte_bpe, chat, decontaminate, near_dedup, sharding
+from shopfloor.llm import byte_bpe, chat, decontaminate, fingerprints, langid, licenses, near_dedup, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(of: int):
+    """crc32 of the id as text, modulo ``of``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best licence of every document, and all that it has."""
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.array_max(F.transform("licenses", lambda x: F.struct(x["dice"].alias("dice"), x["license"].alias("license"))))
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("licenses", lambda x: x["license"]), ",").alias("licenses"),
+        best["license"].alias("best_license"),
+        F.round(best["dice"], 6).alias("best_dice"),
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _remainder(5) == 0
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.fit(docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    kept = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    return toxicity.score(kept, net, keep=["doc_id", "held_out"])
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     listed = F.array_join(F.array_sort(F.transform("hit_items", lambda i: i.cast("string"))), ",")
@@ -35,6 +61,13 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _remainder(4) == 2
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = langid.learn(docs.where(~held_out))
+    return langid.predict(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))), profiles, keep=["doc_id", "held_out"])
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are full of control strings."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -43,6 +76,19 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.segments(turns.unionByName(own)))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.compare_with_edits(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.as_hex(F.col("_fingerprint")).alias("fingerprint"),
+        fingerprints.as_hex(F.col("_edited")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -54,5 +100,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_decontaminate, op5_byte_bpe, op7_chat_format, op9_near_dedup, op10_sharding]
+    found = [
+        op1_license_scan, op3_toxicity, op4_decontaminate, op5_byte_bpe, op6_language_id,
+        op7_chat_format, op8_fingerprints, op9_near_dedup, op10_sharding,
+    ]
     return {f.__name__: f for f in found}
