@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import byte_bpe, chat, decontaminate, fingerprints, langid, licenses, near_dedup, sharding, toxicity
+from shopfloor.llm import byte_bpe, chat, decontaminate, fingerprints, langid, licenses, near_dedup, pii, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,18 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def written(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("pii_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[number(k) for k in pii.KINDS], F.sha2(written("pii_base"), 256).alias("base_sha256"), written("pii_spans").alias("spans"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _remainder(5) == 0
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -101,7 +113,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        op1_license_scan, op3_toxicity, op4_decontaminate, op5_byte_bpe, op6_language_id,
+        op1_license_scan, op2_pii, op3_toxicity, op4_decontaminate, op5_byte_bpe, op6_language_id,
         op7_chat_format, op8_fingerprints, op9_near_dedup, op10_sharding,
     ]
     return {f.__name__: f for f in found}
