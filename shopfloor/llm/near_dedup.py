@@ -223,6 +223,18 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _with_classes(prints: DataFrame, radius: int) -> DataFrame:
+    """For each fingerprint of ``prints`` (``_fingerprint``, ``_id``, ``_row``): ``component_id``, and ``_kept``, the row of the class's smallest id."""
+    first = F.struct(F.col("_id").isNull().alias("unknown"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    classes = stage(prints.groupBy("_fingerprint").agg(F.min(first).alias("_first")), "classes")
+    found = components(stage(links(classes.select("_fingerprint"), radius=radius), "links"))
+    known = classes.join(stage(found, "components").withColumnRenamed("node", "_fingerprint"), "_fingerprint", "left")
+    known = known.withColumn("root", F.coalesce("root", "_fingerprint"))
+    smallest = known.groupBy("root").agg(F.min("_first").alias("least"))
+    picked = known.join(smallest, "root").select("_fingerprint", F.col("least.id").alias("component_id"), F.col("least.row").alias("_kept"))
+    return stage(picked, "classes")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: the id, ``fingerprint`` (16 hex digits) and ``component_id``.
 
@@ -230,13 +242,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if all their ids are null. Equal rows stay separate rows of one class. Empty and null texts share
     fingerprint zero and so one class. No rows give no rows.
     """
-    prints = stage(fingerprints(docs, text, [doc_id], shingle_words), "fingerprints").withColumnRenamed(doc_id, "doc_id")
-    classes = stage(prints.groupBy("_fingerprint").agg(F.min("doc_id").alias("_first")), "classes")
-    found = components(stage(links(classes.select("_fingerprint"), radius=radius), "links"))
-    known = classes.join(stage(found, "components").withColumnRenamed("node", "_fingerprint"), "_fingerprint", "left")
-    known = known.withColumn("root", F.coalesce("root", "_fingerprint"))
-    smallest = known.groupBy("root").agg(F.min("_first").alias("component_id"))
-    classes = stage(known.join(smallest, "root").select("_fingerprint", "component_id"), "classes")
-    return prints.join(classes, "_fingerprint").select(
-        F.col("doc_id").alias(doc_id), F.lpad(F.lower(F.hex("_fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    ids = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(f"`{text}`").alias("_text"))
+    prints = stage(fingerprints(ids, "_text", ["_id", "_row"], shingle_words), "fingerprints")
+    return prints.join(_with_classes(prints, radius), "_fingerprint").select(
+        F.col("_id").alias(doc_id), F.lpad(F.lower(F.hex("_fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each class the row with the smallest id; of repeated ids one row."""
+    rows = docs.withColumns({"_id": F.col(f"`{doc_id}`"), "_row": F.monotonically_increasing_id()})
+    prints = stage(fingerprints(rows, text, None, shingle_words), "fingerprints")
+    classes = _with_classes(prints.select("_fingerprint", "_id", "_row"), radius)
+    surplus = prints.select("_fingerprint", "_row").join(classes, "_fingerprint").where("_row <> _kept").select("_row")
+    return prints.join(stage(surplus, "surplus"), "_row", "left_anti").select(*[f"`{c}`" for c in docs.columns])

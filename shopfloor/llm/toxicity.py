@@ -43,14 +43,16 @@ class Settings:
     texts_of_word: int = 6
     embedding: int = 8
     hidden: int = 8
-    epochs: int = 14
+    #: Epochs, the steps of each, and the windows of a step: a quarter toxic, a quarter hard, half of any clean texts.
+    epochs: int = 12
+    steps: int = 60
     #: Of the training texts, one in so many is kept to choose the epoch and the threshold by.
     kept_apart: int = 5
     #: Share of the words left out at random while training.
     left_out: float = 0.2
     decay: float = 0.02
-    batch: int = 256
-    rate: float = 0.01
+    batch: int = 64
+    rate: float = 0.015
     seed: int = 7
 
 
@@ -67,7 +69,8 @@ class Network:
     weights: dict[str, np.ndarray]
 
     @classmethod
-    def start(cls, s: Settings, word_hashes: np.ndarray, run_hashes: np.ndarray) -> Network:
+    def start(cls, s: Settings, word_hashes: np.ndarray, run_hashes: np.ndarray, word_leaning: np.ndarray, run_leaning: np.ndarray) -> Network:
+        """Random small weights; the first value of a word's vector and the second of a run's say which way it leans."""
         r = np.random.default_rng(s.seed)
         e, h = s.embedding, s.hidden
 
@@ -75,6 +78,7 @@ class Network:
             return (r.standard_normal(shape) * scale).astype(np.float32)
 
         w = {"word": normal(len(word_hashes) + 1, e, scale=0.1), "chars": normal(len(run_hashes) + 1, e, scale=0.1)}
+        w["word"][1:, 0], w["chars"][1:, 1] = word_leaning, run_leaning
         w["word"][0] = w["chars"][0] = 0
         for d in ("f", "b"):
             w |= {f"x{d}": normal(e, 3 * h, scale=e**-0.5), f"h{d}": normal(h, 3 * h, scale=h**-0.5), f"c{d}": np.zeros(3 * h, np.float32)}
@@ -101,14 +105,20 @@ def _rows(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(known[at] == hashes, at + 1, 0).astype(np.int32)
 
 
-def _frequent(row: np.ndarray, hashes: np.ndarray, least: int) -> np.ndarray:
-    """Sorted hashes that occur in ``least`` rows or more."""
+def _frequent(row: np.ndarray, hashes: np.ndarray, toxic: np.ndarray, teaching: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes that occur in ``least`` rows or more, and how surely each leans to toxic rows: its log-odds in standard errors, within -1 and 1."""
     order = np.lexsort((row, hashes))
     row, hashes = row[order], hashes[order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
-    found, n = np.unique(hashes[new], return_counts=True)
-    return found[(n >= least) & (found != 0)]
+    row, hashes = row[new], hashes[new]
+    found, number = np.unique(hashes, return_inverse=True)
+    n = np.bincount(number, minlength=len(found))
+    n_toxic = np.bincount(number, weights=toxic[row], minlength=len(found))
+    a, b = n_toxic + 0.5, n - n_toxic + 0.5
+    odds = np.log(a / ((toxic & teaching).sum() + 1)) - np.log(b / ((~toxic & teaching).sum() + 1))
+    keep = (n >= least) & (found != 0)
+    return found[keep], (np.clip(odds / np.sqrt(1 / a + 1 / b) / 5, -1, 1)[keep]).astype(np.float32)
 
 
 def windows(firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,15 +258,15 @@ def _gradients(net: Network, word: np.ndarray, chars: np.ndarray, at: np.ndarray
     return g
 
 
-def train(texts: list[str], labels: list[int], settings: Settings = Settings()) -> Network:
-    """Fit a network. A toxic text teaches by its most toxic window so far, a clean one by its worst and some other windows.
+def train(texts: list[str], labels: list[int], settings: Settings = Settings(), share: float | None = None) -> Network:
+    """Fit a network. ``share`` is that of toxic rows where it will be used (as in ``labels`` by default). A toxic text teaches by its most toxic window so far, a clean one by its worst and some other windows.
 
     With one class only, or no texts, the network has no words and says that class (clean, if none).
     """
     y = np.array(labels, np.float32)
     none = np.zeros(0, np.uint64)
     if not len(y) or y.min() == y.max():
-        net = Network.start(settings, none, none)
+        net = Network.start(settings, none, none, none, none)
         net.weights["out"][:] = 0
         net.weights["bias"][:] = 4 if len(y) and y[0] == 1 else -4
         return net
@@ -272,11 +282,9 @@ def train(texts: list[str], labels: list[int], settings: Settings = Settings())
     teach = ~apart[of_word]
     row_of, number_of = of_word[teach], number[teach]
     runs_of = run_hashes[number_of]
-    net = Network.start(
-        settings,
-        _frequent(row_of, hashes[number_of], settings.texts_of_word),
-        _frequent(np.repeat(row_of, runs_of.shape[1]), runs_of.ravel(), settings.texts_of_word),
-    )
+    known, leaning = _frequent(row_of, hashes[number_of], y == 1, ~apart, settings.texts_of_word)
+    known_runs, run_leaning = _frequent(np.repeat(row_of, runs_of.shape[1]), runs_of.ravel(), y == 1, ~apart, settings.texts_of_word)
+    net = Network.start(settings, known, known_runs, leaning, run_leaning)
     word, chars = _rows(net.words, hashes), _rows(net.runs, run_hashes)
     row, start, length = windows(firsts)
     steps = np.arange(WINDOW)[:, None]
@@ -295,20 +303,18 @@ def train(texts: list[str], labels: list[int], settings: Settings = Settings())
     for epoch in range(settings.epochs):
         if epoch < 3:  # windows of short toxic texts are most surely the toxic ones
             picked = np.flatnonzero(toxic & learn & few_windows)
+            picked = picked if len(picked) else np.flatnonzero(toxic & learn)
         else:
             order = np.lexsort((-own, row))
             best = order[np.unique(row[order], return_index=True)[1]]
             picked = best[toxic[best] & learn[best]]
         clean = np.flatnonzero(~toxic & learn)
-        hard = clean[np.argsort(-own[clean])[: 2 * len(picked)]]
-        some = r.choice(clean, min(len(clean), 4 * len(picked)), replace=False)
-        use = np.concatenate([picked, hard, some])
-        weight = np.where(toxic[use], 1.0, 0.5).astype(np.float32)
-        shuffled = r.permutation(len(use))
-        for k in range(0, len(use), settings.batch):
-            s = use[shuffled[k : k + settings.batch]]
+        hard = clean[np.argsort(-own[clean])[: max(2 * len(picked), 200)]]
+        for _ in range(settings.steps):
+            s = np.concatenate([r.choice(of, settings.batch // k) for of, k in ((picked, 4), (hard, 4), (clean, 2))])
+            weight = np.where(toxic[s], 1.0, 0.5).astype(np.float32)
             seen = np.where(r.random(len(word)) < settings.left_out, 0, 1).astype(np.int32)
-            grads = _gradients(net, word * seen, chars * seen[:, None], at[:, s], mask[:, s], y[row[s]], weight[shuffled[k : k + settings.batch]])
+            grads = _gradients(net, word * seen, chars * seen[:, None], at[:, s], mask[:, s], y[row[s]], weight)
             n_steps += 1
             _adam(net.weights, grads, moments, n_steps, settings.rate * (0.3 if epoch >= settings.epochs * 2 // 3 else 1), settings.decay)
         own = all_logits()
@@ -316,21 +322,24 @@ def train(texts: list[str], labels: list[int], settings: Settings = Settings())
         found[np.unique(row)] = -np.inf
         np.maximum.at(found, row, own)
         judged = apart if len(set(y[apart])) == 2 else ~apart
-        threshold, errors = _even_threshold(found[judged], y[judged])
+        threshold, errors = _best_threshold(found[judged], y[judged], float(y.mean()) if share is None else share)
         if epoch >= 3 and errors <= kept[0]:
             kept = (errors, {k: v.copy() for k, v in net.weights.items()} | {"bias": net.weights["bias"] - threshold})
     net.weights = kept[1] or net.weights
     return net
 
 
-def _even_threshold(logit: np.ndarray, y: np.ndarray) -> tuple[np.float32, float]:
-    """The logit at which the sum of both classes' error rates is least, in the middle of its gap, and that sum."""
+def _best_threshold(logit: np.ndarray, y: np.ndarray, share: float) -> tuple[np.float32, float]:
+    """The logit that errs least if ``share`` of all rows are toxic, in the middle of its gap, and its error rate."""
     order = np.argsort(logit)
     x, y = logit[order], y[order]
-    errors = np.concatenate([[0], np.cumsum(y == 1) / max((y == 1).sum(), 1)]) + np.concatenate([np.cumsum((y == 0)[::-1])[::-1] / max((y == 0).sum(), 1), [0]])
+    missed = np.concatenate([[0], np.cumsum(y == 1) / max((y == 1).sum(), 1)])
+    alarms = np.concatenate([np.cumsum((y == 0)[::-1])[::-1] / max((y == 0).sum(), 1), [0]])
+    errors = share * missed + (1 - share) * alarms
     k = int(np.median(np.flatnonzero(errors <= errors.min() + 1e-12)))
-    low, high = x[max(k - 1, 0)], x[min(k, len(x) - 1)]
-    return np.float32((low + high) / 2), float(errors.min())
+    if k == len(x):
+        return np.float32(x[-1] + 1), float(errors.min())
+    return np.float32((x[max(k - 1, 0)] + x[k]) / 2), float(errors.min())
 
 
 def _adam(weights: dict, grads: dict, moments: dict, step: int, rate: float, decay: float) -> None:
@@ -358,6 +367,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc
     known = labels.where(F.col(f"`{label}`").isin(0, 1)).select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").alias("_y"))
     sized = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.octet_length(F.col(f"`{text}`")).alias("_n")).where(F.col("_n").between(1, settings.longest_text))
     examples = known.join(sized.drop("_n"), "_id")
+    n = {row["_y"]: row["count"] for row in known.groupBy("_y").count().collect()}
+    share = n.get(1, 0) / max(sum(n.values()), 1)
     chosen = {}
     for y in (0, 1):
         rows = examples.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(settings.rows_per_class).collect()
@@ -366,7 +377,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc
         return train([], [], settings)
     ids = docs.sparkSession.createDataFrame([(i,) for i in chosen], f"_id {docs.schema[doc_id].dataType.simpleString()}")
     texts = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text")).where("_text IS NOT NULL").join(F.broadcast(ids), "_id").dropDuplicates(["_id"]).orderBy("_id").collect()
-    return train([row["_text"] for row in texts], [chosen[row["_id"]] for row in texts], settings)
+    return train([row["_text"] for row in texts], [chosen[row["_id"]] for row in texts], settings, share)
 
 
 def score(docs: DataFrame, net: Network, text: str = "text", keep: list[str] | None = None) -> DataFrame:
