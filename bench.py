@@ -21,7 +21,8 @@ HEADLINE = [
     "q_oee_by_line", "q_daily_oee", "q_rolling_oee", "q_weekly_oee", "q_shift_performance", "q_running_downtime",
     "q_rank_in_line", "q_loss_taxonomy", "q_downtime_pareto", "q_sensor_agg", "q_quality_agg", "q_machine_health",
     "q_failure_risk", "q_top_risk", "q_scd2_apply", "q_scd2_as_of", "q_fact_upsert", "q_bronze_json_roundtrip",
-    "q_wear_percent_rank", "q_replicate_thin", "q_stratified_split", "q_auc",
+    "q_wear_percent_rank", "q_stratified_split", "q_auc", "q_scd2_merge", "q_stream_upsert", "q_stream_bronze", "q_cv_folds",
+    "q_ml_predictions", "q_ml_metrics",
 ]
 
 

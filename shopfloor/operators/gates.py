@@ -61,7 +61,8 @@ QUALITY_GATE = Gate(
 
 
 def accepted(df: DataFrame, gate: Gate) -> DataFrame:
-    return df.filter(gate.passes())
+    # A filter drops NULL by itself, and bare rules reach the scan.
+    return df.filter(reduce(and_, [F.expr(rule) for rule in gate.rules.values()]))
 
 
 def quarantined(df: DataFrame, gate: Gate, reasons: bool = False) -> DataFrame:

@@ -8,12 +8,25 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopfloor.operators.joins import lookup_join, require_unique
 
 TRACKED = ["line", "maintenance_tier"]
 
 
+def _live() -> Column:
+    """Current versions; a NULL flag is not one, and its row is history."""
+    return F.coalesce(F.col("is_current"), F.lit(False))
+
+
+def require_keys(snapshot: DataFrame, key: str) -> DataFrame:
+    """Return ``snapshot``, or raise when a key is NULL or occurs twice."""
+    if not snapshot.filter(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"snapshot: {key} is NULL")
+    return require_unique(snapshot, [key], "snapshot")
+
+
 def _day(value: date | str | Column | None) -> Column:
     if value is None:
         return F.current_date()
@@ -40,7 +53,7 @@ def classify(
     is neither mistaken for a new machine nor for an unchanged one.
     """
     tracked = tracked or TRACKED
-    current = existing.filter("is_current").select(
+    current = existing.filter(_live()).select(
         F.col(key), *[F.col(c).alias(f"cur_{c}") for c in tracked], F.lit(True).alias("_known")
     )
     differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"cur_{c}")) for c in tracked])
@@ -56,7 +69,7 @@ def to_expire(
     """Current versions that a change replaces, closed on the effective day."""
     changed = classified.filter("change = 'changed'").select(key)
     return (
-        existing.filter("is_current")
+        existing.filter(_live())
         .join(changed, key, "left_semi")
         .withColumns({"valid_to": _day(effective), "is_current": F.lit(False)})
     )
@@ -65,7 +78,7 @@ def to_expire(
 def to_keep(existing: DataFrame, classified: DataFrame, key: str = "machine_id") -> DataFrame:
     """Current versions that stay as they are, including machines the snapshot does not list."""
     changed = classified.filter("change = 'changed'").select(key)
-    return existing.filter("is_current").join(changed, key, "left_anti")
+    return existing.filter(_live()).join(changed, key, "left_anti")
 
 
 def apply_snapshot(
@@ -78,14 +91,16 @@ def apply_snapshot(
     """The dimension after one snapshot: history, kept, expired and new versions in a single join.
 
     Each key has at most one current version and one incoming row, so one full outer join sees
-    every case, and each pair unfolds into the one or two rows it leaves behind.
+    every case, and each pair unfolds into the one or two rows it leaves behind. A NULL or repeated
+    key is refused, and so is a change that is dated before the version it would close. A second change
+    on the day a version began replaces that version.
     """
     tracked = tracked or TRACKED
     columns = existing.columns
-    require_unique(snapshot, [key], "snapshot")
+    require_keys(snapshot, key)
     incoming = open_history(snapshot, effective).select(*columns)
 
-    cur = existing.filter("is_current").select(F.col(key).alias("_k"), F.struct(*columns).alias("_cur"))
+    cur = existing.filter(_live()).select(F.col(key).alias("_k"), F.struct(*columns).alias("_cur"))
     new = incoming.select(F.col(key).alias("_k"), F.struct(*columns).alias("_new"))
     differs = reduce(or_, [~F.col(f"_cur.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in tracked])
     closed = F.struct(
@@ -98,14 +113,20 @@ def apply_snapshot(
             for c in columns
         ]
     )
+    existing_type = StructType(existing.select(*columns).schema.fields)
+    backdated = F.col("_cur.valid_from") > F.col("_new.valid_from")
+    same_day = F.col("_cur.valid_from") == F.col("_new.valid_from")
+    too_early = F.concat(F.lit(f"{key} "), F.col("_k").cast("string"), F.lit(": change before "), F.col("_cur.valid_from").cast("string"))
     versions = (
         F.when(F.col("_new").isNull(), F.array("_cur"))
         .when(F.col("_cur").isNull(), F.array("_new"))
+        .when(differs & backdated, F.array(F.raise_error(too_early).cast(existing_type)))
+        .when(differs & same_day, F.array("_new"))
         .when(differs, F.array(closed, F.col("_new")))
         .otherwise(F.array("_cur"))
     )
     live = cur.join(new, "_k", "full_outer").select(F.inline(versions))
-    return existing.filter("NOT is_current").unionByName(live)
+    return existing.filter(~_live()).unionByName(live)
 
 
 def as_of(dimension: DataFrame, day: date | str | Column) -> DataFrame:

@@ -3,24 +3,46 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1 / 500
+# Beyond so many rows a key is hot, however small its share; the keys listed for it are the largest.
+HOT_ROWS = 50_000_000
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes a row takes when it is broadcast: eight for each column, and the length of texts."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields if not isinstance(f.dataType, NumericType)]
+    return reduce(add, texts, F.lit(8 * (len(df.columns) + 1)))
+
+
+def fits(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether ``df`` may be broadcast: its rows and its bytes are counted in one pass."""
+    n, size = df.agg(F.count("*"), F.sum(row_bytes(df))).first()
+    return n <= (BROADCAST_ROWS if rows is None else rows) and (size or 0) <= BROADCAST_BYTES
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if it fits."""
+    return F.broadcast(df) if fits(df) else df
 
 
 def heavy_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Key values that hold more than ``share`` of all rows; at most ``1 / share`` of them exist.
+    """Key values that hold more than ``share`` of all rows or more than ``HOT_ROWS``; at most ``1 / share`` of them.
 
-    That bound is what allows the list to be broadcast. Rows are counted with map-side
-    aggregation, so a hot key costs one partial count per task.
+    That bound is what allows the list to be broadcast. Rows are counted with map-side aggregation, in one
+    pass, so a hot key costs one partial count per task.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    floor = df.count() * share
-    found = counts.filter(F.col("_rows") > F.lit(floor)).select(*keys)
+    total = counts.agg(F.sum("_rows")).scalar()
+    hot = (F.col("_rows") > total * share) | (F.col("_rows") > HOT_ROWS)
+    found = counts.filter(hot).orderBy(F.desc("_rows")).limit(int(1 / share)).select(*keys)
     return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
@@ -36,8 +58,8 @@ def lookup_join(
 ) -> DataFrame:
     """Inner or left join ``fact`` to ``lookup``, whichever size the lookup and whichever skew the fact has.
 
-    * The lookup is counted; up to ``broadcast_rows`` rows (``BROADCAST_ROWS`` unless given) it is
-      broadcast and the fact does not move.
+    * The lookup is measured; up to ``broadcast_rows`` rows (``BROADCAST_ROWS`` unless given) and
+      ``BROADCAST_BYTES`` it is broadcast and the fact does not move.
     * Beyond that, fact rows of heavy keys (and of NULL keys) are joined to just their lookup rows,
       which are broadcast after a second count; all other rows take a shuffled join.
 
@@ -47,12 +69,12 @@ def lookup_join(
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how}")
     broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    if lookup.count() <= broadcast_rows:
+    if fits(lookup, broadcast_rows):
         return _join(fact, F.broadcast(lookup), keys, how, residual, null_safe)
 
     hot = heavy_keys(fact.select(*keys), keys, HOT_SHARE if hot_share is None else hot_share)
     hot_lookup = lookup.join(F.broadcast(hot), _equal(lookup, hot, keys, True), "left_semi")
-    if hot_lookup.count() > broadcast_rows:
+    if not fits(hot_lookup, broadcast_rows):
         return _join(fact, lookup, keys, how, residual, null_safe)
     has_null = reduce(or_, [F.col(k).isNull() for k in keys])
     marked = fact.join(

@@ -48,7 +48,7 @@ def pareto(events: DataFrame, key: str = "reason", value: str = "duration_min",
     """
     totals = events.groupBy(key).agg(F.sum(value).alias("total_min"), F.count("*").alias("events"))
     summed = prefix_sums(totals, [("total_min", True), (key, False)], ["total_min"])
-    running = F.col("before_total_min") + F.col("total_min")
+    running = F.coalesce("before_total_min", F.lit(0)) + F.coalesce("total_min", F.lit(0))
     return summed.select(
         key,
         "total_min",

@@ -1,4 +1,4 @@
-"""Sensor telemetry: flattening, seed-file mapping and volume amplification."""
+"""Sensor telemetry: flattening and seed-file mapping."""
 
 from __future__ import annotations
 
@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from shopfloor.functions.cleaning import parsed_timestamp
 from shopfloor.functions.kpi import kelvin_to_celsius
 from shopfloor.functions.rounding import Rounder, half_up
-from shopfloor.operators.joins import lookup_join
-from shopfloor.operators.ordering import with_ranks
 from shopfloor.schemas import READINGS
 
 
+# Fixed value: how telemetry made from the seed file names its source.
+SEED_SOURCE = "ai4i-seed"
+
+
 def flatten_readings(df: DataFrame, struct: str = "readings") -> DataFrame:
     """Lift every field of the struct to a column; readings the source never had become typed NULLs."""
     present = df.schema[struct].dataType.names
@@ -49,20 +51,20 @@ def seed_to_telemetry(
 ) -> DataFrame:
     """Map the predictive-maintenance seed file onto nested telemetry records.
 
-    The file has no machine, time, firmware or vibration; the caller says where they come from
-    (vibration defaults to a seeded normal draw around 2.5 mm/s).
+    The file has no machine, time, firmware or vibration; the caller says where they come from.
+    Vibration stays NULL unless it is given.
     """
     process_k = _by_header(seed, "Process temperature [K]", "Process temperature").cast("double")
     speed = _by_header(seed, "Rotational speed [rpm]", "Rotational speed").cast("double")
     torque = _by_header(seed, "Torque [Nm]", "Torque").cast("double")
     wear = _by_header(seed, "Tool wear [min]", "Tool wear").cast("double")
     failed = _by_header(seed, "Machine failure", "Target").cast("double")
-    vibration = F.round(F.abs(F.randn(42) + 2.5), 2) if vibration is None else vibration
+    vibration = F.lit(None) if vibration is None else vibration
     return seed.select(
         machine_id.alias("machine_id"),
         reading_ts.alias("reading_ts"),
         (F.lit("v1.2") if firmware is None else firmware).alias("firmware"),
-        F.lit("ai4i-seed").alias("source"),
+        F.lit(SEED_SOURCE).alias("source"),
         F.struct(
             rnd(kelvin_to_celsius(process_k), 1).alias("temperature_c"),
             vibration.cast("double").alias("vibration_mm_s"),
@@ -72,51 +74,3 @@ def seed_to_telemetry(
         ).alias("readings"),
         (F.coalesce(failed, F.lit(0.0)) != 0).alias("machine_failure"),
     )
-
-
-def amplify_seed(
-    seed: DataFrame,
-    machine_health: DataFrame,
-    copies: int = 200,
-    pick_machine: Column | None = None,
-    pick_share: Column | None = None,
-    pick_day: Column | None = None,
-    n_machines: int = 50,
-    last_day: Column | None = None,
-    near: float = 0.35,
-    far_share: float = 0.15,
-    seed_value: int = 42,
-    rnd: Rounder = half_up,
-) -> DataFrame:
-    """Blow a seed table up to telemetry volume, giving unhealthy machines the worn readings.
-
-    Every reading is repeated ``copies`` times inside its own row (no join), put on a machine, and
-    kept if its wear percentile lies near the machine's ill-health, else with ``far_share`` odds.
-    The three ``pick_*`` columns may refer to ``copy_no``. They default to even draws hashed from
-    the row, the copy and ``seed_value``, which come out the same when a lost task is run again.
-    """
-
-    def draw(no: int) -> Column:
-        return F.pmod(F.xxhash64(*seed.columns, "copy_no", F.lit(seed_value + no)), F.lit(2**53)) / float(2**53)
-
-    machine = pick_machine if pick_machine is not None else F.floor(draw(0) * n_machines) + 1
-    share = pick_share if pick_share is not None else draw(1)
-    day = pick_day if pick_day is not None else F.floor(draw(2) * 90).cast("int")
-    ranked = with_ranks(seed, "tool_wear", percent_rank="wear_pct")
-    copied = ranked.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    placed = lookup_join(
-        copied.withColumns({"machine_id": machine, "_share": share, "_day": day}),
-        machine_health.select("machine_id", "health"),
-        ["machine_id"],
-    )
-    is_near = F.abs(F.col("wear_pct") - (1 - F.col("health"))) < near
-    kept = placed.filter(F.coalesce(is_near, F.lit(False)) | (F.col("_share") < far_share))
-    return kept.select(
-        "machine_id",
-        F.date_sub(F.current_date() if last_day is None else last_day, F.col("_day")).alias("reading_date"),
-        rnd(kelvin_to_celsius(F.col("process_temp_k")), 1).alias("temperature_c"),
-        F.col("rot_speed").cast("int").alias("rotational_speed_rpm"),
-        rnd(F.col("torque"), 1).alias("torque_nm"),
-        F.col("tool_wear").cast("int").alias("tool_wear_min"),
-        F.col("machine_failure").cast("int").alias("machine_failure"),
-    )

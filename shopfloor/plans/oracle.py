@@ -164,6 +164,11 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
                        ELSE maintenance_tier END AS maintenance_tier
            FROM machines""",
     ),
+    "known": (
+        ["snap0", "snap1"],
+        """SELECT u.*, t.maintenance_tier IS DISTINCT FROM u.maintenance_tier AS changed
+           FROM snap1 u JOIN snap0 t ON t.machine_id = u.machine_id""",
+    ),
     "scd_changes": (
         ["snap0", "snap1"],
         """SELECT i.*, c.line AS cur_line, c.maintenance_tier AS cur_maintenance_tier,
@@ -337,8 +342,9 @@ ORACLE: dict[str, str] = {
     ),
     # history
     "q_scd2_init": sql(
-        "snap0",
-        "SELECT *, DATE '2024-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current FROM snap0",
+        "machines",
+        """SELECT machine_id, machine_name, line, machine_type, maintenance_tier, DATE '2024-01-01' AS valid_from,
+                  CAST(NULL AS DATE) AS valid_to, true AS is_current FROM machines""",
     ),
     "q_scd2_classify": sql("scd_changes", "SELECT * FROM scd_changes"),
     "q_scd2_expire": sql("scd_final", "SELECT * FROM scd_final WHERE NOT is_current"),
@@ -347,14 +353,18 @@ ORACLE: dict[str, str] = {
     ),
     "q_scd2_apply": sql("scd_final", "SELECT * FROM scd_final"),
     "q_scd2_merge": sql(
-        "snap0 snap1",
+        "snap0 known",
         """SELECT t.machine_id, t.machine_name, t.line, t.machine_type, t.maintenance_tier, DATE '2024-01-01' AS valid_from,
-                  CASE WHEN t.maintenance_tier <> u.maintenance_tier THEN DATE '2024-02-01' END AS valid_to,
-                  coalesce(t.maintenance_tier = u.maintenance_tier, true) AS is_current
-           FROM snap0 t LEFT JOIN snap1 u ON t.machine_id = u.machine_id
+                  CASE WHEN k.changed OR k.machine_id % 14 = 0 THEN DATE '2024-02-01' END AS valid_to,
+                  NOT coalesce(k.changed OR k.machine_id % 14 = 0, false) AS is_current
+           FROM snap0 t LEFT JOIN known k ON t.machine_id = k.machine_id
+           UNION ALL
+           SELECT machine_id, machine_name, line, machine_type, maintenance_tier, DATE '2024-02-01',
+                  CASE WHEN machine_id % 14 = 0 THEN DATE '2024-02-01' END, machine_id % 14 <> 0
+           FROM known WHERE changed
            UNION ALL
-           SELECT u.*, DATE '2024-02-01', CAST(NULL AS DATE), true
-           FROM snap1 u JOIN snap0 t ON t.machine_id = u.machine_id WHERE t.maintenance_tier <> u.maintenance_tier""",
+           SELECT machine_id, machine_name, line, machine_type, 'gold', DATE '2024-02-01', CAST(NULL AS DATE), true
+           FROM known WHERE machine_id % 14 = 0""",
     ),
     "q_scd2_as_of": sql(
         "scd_final downtime",
@@ -364,9 +374,12 @@ ORACLE: dict[str, str] = {
                 AND (d.valid_to IS NULL OR e.day < d.valid_to)
            GROUP BY line, maintenance_tier""",
     ),
-    "q_fact_upsert": """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN 'C' ELSE o_orderstatus END AS o_orderstatus,
-                               CAST(year(o_orderdate) AS INT) AS o_year
-                        FROM orders WHERE o_orderkey % 10 <> 9 OR o_orderkey % 3 = 0""",
+    "q_fact_upsert": """SELECT o_orderkey, o_custkey,
+                               CASE WHEN changed THEN 'C' WHEN o_orderkey % 2 = 0 THEN 'L' ELSE o_orderstatus END AS o_orderstatus,
+                               CAST(CASE WHEN changed THEN 3 WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END AS INT) AS revision,
+                               CAST(CASE WHEN o_orderkey % 17 <> 0
+                                         THEN year(o_orderdate) + CASE WHEN changed AND o_orderkey % 5 = 0 THEN 1 ELSE 0 END END AS INT) AS o_year
+                        FROM (SELECT *, o_orderkey % 3 = 0 OR o_orderkey % 10 = 9 AS changed FROM orders)""",
     # files, catalog, streams
     "q_bronze_json_roundtrip": sql("runs", "SELECT * FROM runs"),
     "q_bronze_lineage": """SELECT count(*) AS row_count, count(*) AS with_time, count(*) AS with_file,
@@ -379,24 +392,13 @@ ORACLE: dict[str, str] = {
                                FROM ({_SEED})""",
     "q_catalog_roundtrip": sql("mart", "SELECT machine_id, line, avg_oee, total_downtime_min FROM mart"),
     "q_stream_bronze": """SELECT event_id, user_id AS machine_id, event_type, value FROM events""",
-    "q_stream_upsert": """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'C' ELSE o_orderstatus END AS o_orderstatus,
-                                 CAST(CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 1 END AS BIGINT) AS revision,
+    "q_stream_upsert": """SELECT o_orderkey,
+                                 CASE WHEN o_orderkey % 4 = 0 THEN 'C' WHEN o_orderkey % 6 = 0 THEN 'L' ELSE o_orderstatus END AS o_orderstatus,
+                                 CAST(CASE WHEN o_orderkey % 4 = 0 THEN 3 WHEN o_orderkey % 6 = 0 THEN 2 ELSE 1 END AS BIGINT) AS revision,
                                  CAST(year(o_orderdate) AS INT) AS o_year FROM orders""",
-    # amplification
+    # percent ranks
     "q_wear_percent_rank": f"""SELECT event_id AS udi, event_id % 250 AS tool_wear,
                                       {r('percent_rank() OVER (ORDER BY event_id % 250)', 6)} AS wear_pct FROM events""",
-    "q_replicate_thin": f"""
-        WITH seed AS ({_SEED}),
-        ranked AS (SELECT *, percent_rank() OVER (ORDER BY tool_wear) AS wear_pct FROM seed),
-        copied AS (SELECT *, (udi * 37 + copy_no * 11) % (SELECT count(*) FROM supplier) AS machine_id,
-                          ((udi * 7919 + copy_no * 104729) % 1000) / 1000e0 AS share, (udi + copy_no * 13) % 90 AS day
-                   FROM ranked, range(200) t(copy_no)),
-        kept AS (SELECT c.* FROM copied c JOIN supplier ON machine_id = s_suppkey
-                 WHERE abs(wear_pct - (1 - (30 + (s_suppkey * 37) % 71) / 100e0)) < 0.35e0 OR share < 0.15e0)
-        SELECT machine_id, DATE '2024-03-31' - CAST(day AS INT) AS reading_date, count(*) AS readings,
-               {r('avg(' + r('process_temp_k - 273.15e0', 1) + ')')} AS avg_temperature_c,
-               CAST(sum(tool_wear) AS BIGINT) AS sum_wear, CAST(sum(machine_failure) AS BIGINT) AS failures
-        FROM kept GROUP BY 1, 2""",
     # scalar functions
     "q_fn_string": """SELECT o_orderkey, upper(trim('  ' || lower(o_orderpriority) || ' ')) AS code,
                              'M' || CASE WHEN length(CAST(o_custkey % 50 + 1 AS VARCHAR)) >= 2

@@ -29,7 +29,7 @@ def predict_failures(
     params: learning.ForestParams = learning.ForestParams(),
     folds: int = 5,
 ) -> Report:
-    """Train on the file's own readings (never on amplified ones) and score the held-out quarter."""
+    """Train on the file's own readings and score the held-out quarter."""
     seed = files.read_seed_csv(spark, seed_csv)
     frame = stage(learning.training_frame(seed, learning.FEATURES, "machine_failure", ["udi"]), "training")
     trained = learning.train_and_score(frame, learning.FEATURES, ["udi"], params)

@@ -257,9 +257,11 @@ def _dimension(p: Plant) -> DataFrame:
 
 @query
 def q_scd2_init(p: Plant) -> DataFrame:
+    """The first load of all machines."""
     table = VersionedTable(p.spark, work_folder(p.spark, "scd2-init"))
+    columns = p.snapshot(0).columns
     if not table.exists():
-        table.overwrite(_first_version(p))
+        table.overwrite(history.open_history(p.machines().select(*columns), FIRST_LOAD))
     return table.read()
 
 
@@ -290,11 +292,13 @@ def q_scd2_apply(p: Plant) -> DataFrame:
 
 @query
 def q_scd2_merge(p: Plant) -> DataFrame:
-    """Close versions whose tier changed, then re-open them by INSERT ... SELECT on the same table."""
+    """Close versions whose tier changed and re-open them; some machines change once more on the same day."""
     name = f"dim_machine_scd2_{uuid.uuid4().hex[:12]}"
     store = Warehouse(p.spark, work_folder(p.spark, "scd2-merge"))
     store.save(_first_version(p), name)
-    return merge_tiers(store, name, p.snapshot(1), SECOND_LOAD)
+    merge_tiers(store, name, p.snapshot(1), SECOND_LOAD)
+    again = p.snapshot(1).filter("machine_id % 14 = 0").withColumn("maintenance_tier", F.lit("gold"))
+    return merge_tiers(store, name, again, SECOND_LOAD)
 
 
 @query
@@ -312,14 +316,19 @@ def q_scd2_as_of(p: Plant) -> DataFrame:
 
 @query
 def q_fact_upsert(p: Plant) -> DataFrame:
+    """Three batches: some orders have no year, a part moves to another year, and a part comes late with an old revision."""
     base = work_folder(p.spark, "fact-upsert")
     orders = p.table("orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("o_year")
-    )
+        "o_orderkey", "o_custkey", "o_orderstatus", F.lit(1).alias("revision"),
+        F.expr("CASE WHEN o_orderkey % 17 <> 0 THEN year(o_orderdate) END").alias("o_year"),
+    )
     first = orders.filter("o_orderkey % 10 <> 9")
-    changed = orders.filter("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("C"))
-    for batch_id, batch in enumerate((first, changed)):
-        merge.upsert_partitions(f"{base}/orders", batch, ["o_orderkey"], "o_year", batch_id, f"{base}/log")
+    changed = orders.filter("o_orderkey % 3 = 0 OR o_orderkey % 10 = 9").withColumns(
+        {"o_orderstatus": F.lit("C"), "revision": F.lit(3), "o_year": F.expr("CASE WHEN o_orderkey % 5 = 0 THEN o_year + 1 ELSE o_year END")}
+    )
+    late = orders.filter("o_orderkey % 2 = 0").withColumns({"o_orderstatus": F.lit("L"), "revision": F.lit(2)})
+    for batch_id, batch in enumerate((first, changed, late)):
+        merge.upsert_partitions(f"{base}/orders", batch, ["o_orderkey"], "o_year", batch_id, f"{base}/log", ["revision"])
     return p.spark.read.schema(orders.schema).parquet(f"{base}/orders")
 
 
@@ -412,7 +421,8 @@ def q_stream_bronze(p: Plant) -> DataFrame:
     """Two landings and three ingest calls: every file is taken once."""
     base = work_folder(p.spark, "stream-bronze")
     events = p.table("events").select("event_id", F.col("user_id").alias("machine_id"), "event_type", "value")
-    for landing in ("event_type IN ('view', 'click')", "event_type NOT IN ('view', 'click')", None):
+    early = "coalesce(event_type IN ('view', 'click'), false)"
+    for landing in (early, f"NOT {early}", None):
         if landing:
             events.filter(landing).write.mode("append").json(f"{base}/landing")
         stream = landed_json(p.spark, f"{base}/landing", events.schema)
@@ -422,22 +432,23 @@ def q_stream_bronze(p: Plant) -> DataFrame:
 
 @query
 def q_stream_upsert(p: Plant) -> DataFrame:
-    """All orders land at revision 1, a part of them again at revision 2."""
+    """All orders land at revision 1, a part of them again at revision 3, and another part late at revision 2."""
     base = work_folder(p.spark, "stream-upsert")
     orders = p.table("orders").select(
         "o_orderkey", "o_orderstatus", F.lit(1).cast("bigint").alias("revision"), F.year("o_orderdate").alias("o_year")
     )
-    revised = orders.filter("o_orderkey % 4 = 0").withColumns(
-        {"o_orderstatus": F.lit("C"), "revision": F.lit(2).cast("bigint")}
-    )
-    for landing in (orders, revised):
+
+    def revised(rows: str, status: str, revision: int) -> DataFrame:
+        return orders.filter(rows).withColumns({"o_orderstatus": F.lit(status), "revision": F.lit(revision).cast("bigint")})
+
+    for landing in (orders, revised("o_orderkey % 4 = 0", "C", 3), revised("o_orderkey % 6 = 0", "L", 2)):
         landing.write.mode("append").json(f"{base}/landing")
         stream = landed_json(p.spark, f"{base}/landing", orders.schema, lineage=False)
         upsert_available(stream, f"{base}/orders", ["o_orderkey"], "o_year", f"{base}/checkpoint", ["revision"])
     return p.spark.read.schema(orders.schema).parquet(f"{base}/orders")
 
 
-# --- amplification -----------------------------------------------------------
+# --- percent ranks -----------------------------------------------------------
 
 
 @query
@@ -447,30 +458,6 @@ def q_wear_percent_rank(p: Plant) -> DataFrame:
     return ranked.withColumn("wear_pct", steady(F.col("wear_pct"), 6))
 
 
-@query
-def q_replicate_thin(p: Plant) -> DataFrame:
-    """Events as a seed file, blown up 200 times; the draws are arithmetic on keys so they can be checked."""
-    machines = p.table("supplier").select(
-        F.col("s_suppkey").alias("machine_id"), ((F.col("s_suppkey") * 37 % 71 + 30) / 100.0).alias("health")
-    )
-    n_machines = p.table("supplier").select(F.count("*")).scalar()
-    readings = telemetry.amplify_seed(
-        _seed_frame(p),
-        machines,
-        pick_machine=(F.col("udi") * 37 + F.col("copy_no") * 11) % n_machines,
-        pick_share=((F.col("udi") * 7919 + F.col("copy_no") * 104729) % 1000) / 1000.0,
-        pick_day=((F.col("udi") + F.col("copy_no") * 13) % 90).cast("int"),
-        last_day=F.lit("2024-03-31").cast("date"),
-        rnd=steady,
-    )
-    return readings.groupBy("machine_id", "reading_date").agg(
-        F.count("*").alias("readings"),
-        steady(F.avg("temperature_c"), 3).alias("avg_temperature_c"),
-        F.sum("tool_wear_min").alias("sum_wear"),
-        F.sum("machine_failure").alias("failures"),
-    )
-
-
 # --- scalar functions --------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.operators import gates, health, history, losses, marts, merge, telemetry
+from shopfloor.operators import gates, health, history, losses, marts, merge
 from shopfloor.session import stage
 from shopfloor.sources import catalog
 
@@ -46,9 +46,6 @@ class Warehouse:
         self.save(sensors, "bronze_sensors")
         self.save(quality, "bronze_quality")
 
-    def amplified_sensors(self, seed: DataFrame, machine_health: DataFrame, copies: int = 200) -> None:
-        self.save(telemetry.amplify_seed(seed, machine_health, copies), "bronze_sensors")
-
     def silver(self, planned: str = "planned_min") -> None:
         raw = self.spark.table("bronze_mes_runs")
         good, bad = gates.split(raw, gates.RUN_GATE_BASIC)
@@ -82,33 +79,22 @@ class Warehouse:
 
 
 def merge_tiers(warehouse: Warehouse, table: str, updates: DataFrame, effective: date | str | None = None) -> DataFrame:
-    """Close current versions whose maintenance tier changed, then INSERT their successors.
+    """Close current versions whose maintenance tier changed and open their successors, in one write.
 
-    Machines the table does not know are left out. A machine that already has a current version is
-    not opened again, so a second run on the same day changes nothing.
+    Machines the table does not know are left out, NULL tiers compare like values, and a NULL or repeated
+    machine is refused. A machine is opened once a run: a second run on the same day with the same rows
+    changes nothing, and another change on that day leaves the version of that day behind, closed.
     """
     spark = warehouse.spark
+    history.require_keys(updates, "machine_id")
     day = F.current_date() if effective is None else F.lit(effective).cast("date")
+    target = spark.table(table)
+    changed = ~F.col("t.maintenance_tier").eqNullSafe(F.col("s.maintenance_tier"))
+    current = F.coalesce(F.col("t.is_current"), F.lit(False))
     closed = merge.merge_df(
-        spark.table(table),
-        updates,
-        ["machine_id"],
-        update={"is_current": F.lit(False), "valid_to": day},
-        when=F.col("t.maintenance_tier") != F.col("s.maintenance_tier"),
-        on=F.col("t.is_current"),
-    )
-    warehouse.save(stage(closed, "closed-versions"), table)
-
-    view = f"machine_updates_{uuid.uuid4().hex[:12]}"
-    updates.createOrReplaceTempView(view)
-    today = "current_date()" if effective is None else f"DATE '{effective}'"
-    stamps = {"valid_from": today, "valid_to": "CAST(NULL AS DATE)", "is_current": "true"}
-    columns = ", ".join(stamps.get(c, f"u.{c}") for c in spark.table(table).columns)
-    spark.sql(
-        f"""INSERT INTO {table}
-            SELECT {columns} FROM {view} u JOIN {table} t
-              ON u.machine_id = t.machine_id AND NOT t.is_current AND t.valid_to = {today}
-            WHERE NOT EXISTS (SELECT 1 FROM {table} c WHERE c.machine_id = u.machine_id AND c.is_current)"""
+        target, updates, ["machine_id"], update={"is_current": F.lit(False), "valid_to": day}, when=changed, on=current
     )
-    spark.catalog.dropTempView(view)
-    return spark.table(table)
+    reopened = updates.alias("s").join(target.alias("t"), (F.col("s.machine_id") == F.col("t.machine_id")) & current & changed, "left_semi")
+    stamps = {"valid_from": day, "valid_to": F.lit(None).cast("date"), "is_current": F.lit(True)}
+    opened = reopened.select(*[(stamps[f.name] if f.name in stamps else F.col(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return warehouse.save(stage(closed.unionByName(opened), "machine-versions"), table)

@@ -15,14 +15,14 @@ def upsert_available(
     checkpoint: str,
     order: list[str],
 ) -> None:
-    """Upsert what has landed, batch by batch; the newest row of a key (by ``order``) wins.
+    """Upsert what has landed, batch by batch; the newest row of a key (by ``order``) wins, whichever batch it came with.
 
     A batch that Spark replays is recognised by its id.
     """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per_key(batch, keys, order)
-        upsert_partitions(table_path, newest, keys, partition_by, batch_id, log=f"{checkpoint}-upserts")
+        upsert_partitions(table_path, newest, keys, partition_by, batch_id, log=f"{checkpoint}-upserts", order=order)
 
     query = (
         stream.writeStream.foreachBatch(one_batch)

@@ -25,7 +25,7 @@ def test_query_agrees_with_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
-LARGE_LOOKUPS = ["q_run_oee", "q_rank_in_line", "q_wear_percent_rank", "q_replicate_thin", "q_scd2_as_of", "q_fact_upsert", "q_stratified_split"]
+LARGE_LOOKUPS = ["q_run_oee", "q_rank_in_line", "q_wear_percent_rank", "q_scd2_as_of", "q_fact_upsert", "q_stratified_split"]
 
 
 @pytest.mark.parametrize("name", LARGE_LOOKUPS)

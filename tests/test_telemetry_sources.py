@@ -97,23 +97,6 @@ def test_seed_maps_to_telemetry(spark, seed_csv):
     assert all(r["readings"]["vibration_mm_s"] >= 0 for r in got)
 
 
-def test_amplified_readings_follow_health(spark):
-    seed = spark.createDataFrame(
-        [(300.0 + i % 5, 1500.0, 40.0, i, i % 2) for i in range(100)],
-        "process_temp_k double, rot_speed double, torque double, tool_wear int, machine_failure int",
-    )
-    health = spark.createDataFrame([(1, 1.0), (2, 0.0)], "machine_id bigint, health double")
-    args = dict(copies=20, n_machines=2, last_day=F.lit("2024-03-31").cast("date"))
-    got = telemetry.amplify_seed(seed, health, **args).cache()
-    assert 600 < got.count() < 1400
-    wear = {r[0]: r[1] for r in got.groupBy("machine_id").agg(F.avg("tool_wear_min")).collect()}
-    assert wear[1] < wear[2]
-    assert got.columns == ["machine_id", "reading_date", "temperature_c", "rotational_speed_rpm", "torque_nm", "tool_wear_min", "machine_failure"]
-    assert sorted(map(str, telemetry.amplify_seed(seed, health, **args).collect())) == sorted(map(str, got.collect()))
-    all_kept = telemetry.amplify_seed(seed, health, far_share=1.1, **args)
-    assert all_kept.count() == 2000
-
-
 def test_padded_id(spark):
     df = spark.createDataFrame([(7,), (42,), (123,)], "n int")
     assert [r[0] for r in df.select(padded_id("M", F.col("n"), 2)).collect()] == ["M07", "M42", "M123"]
