@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shopfloor.llm import licenses
+
 #: Words, after lower-casing A-Z only.
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -33,5 +35,47 @@ FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN listed l USING (doc_id)
 """
 
 
+def _templates() -> str:
+    """The licence templates as rows: name, bigrams, size bounds, and the bigrams with their counts."""
+    rows = []
+    for name, body in licenses.TEMPLATES:
+        grams = licenses.bigrams_of(body)
+        low, high = licenses.bounds(sum(grams.values()), licenses.THRESHOLD)
+        listed = ", ".join(f"{{gram: '{g}', c: {c}}}" for g, c in sorted(grams.items()))
+        rows.append(f"('{name}', {sum(grams.values())}, {low}, {high}, [{listed}])")
+    return ",\n".join(rows)
+
+
+OP1 = rf"""
+WITH templates(license, n, low, high, grams) AS (VALUES {_templates()}),
+plain AS (
+    SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS p FROM documents
+), units AS (
+    SELECT DISTINCT doc_id, trim(u) AS u FROM (
+        SELECT doc_id, unnest(string_split(p, chr(10))) AS u FROM plain
+        UNION ALL
+        SELECT doc_id, regexp_replace(unnest(list_append(string_split(regexp_replace(p, '\n ?(\n ?)+', chr(1), 'g'), chr(1)), p)), '[\n ]+', ' ', 'g') FROM plain
+    )
+), sized AS (
+    SELECT doc_id, string_split(u, ' ') AS w, length(u) - length(replace(u, ' ', '')) AS n FROM units
+), paired AS (
+    SELECT s.doc_id, t.license, s.n AS n_unit, t.n, t.grams, list_transform(range(1, s.n + 1), lambda i: w[i] || ' ' || w[i + 1]) AS b
+    FROM sized s JOIN templates t ON s.n BETWEEN t.low AND t.high
+), scored AS (
+    SELECT doc_id, license,
+           2e0 * list_sum(list_transform(grams, lambda g: least(g.c, len(list_filter(b, lambda x: x = g.gram))))) / (n_unit + n) AS dice
+    FROM paired
+), best AS (
+    SELECT doc_id, license, max(dice) AS dice FROM scored WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, license
+), found AS (
+    SELECT doc_id, count(*) AS n_licenses, string_agg(license, ',' ORDER BY license) AS licenses,
+           max({{dice: dice, license: license}}) AS top FROM best GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(f.n_licenses, 0)::BIGINT AS n_licenses, coalesce(f.licenses, '') AS licenses,
+       f.top.license AS best_license, round(f.top.dice, 6) AS best_dice
+FROM documents d LEFT JOIN found f USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": OP4}
+    return {"op1_license_scan": OP1, "op4_decontaminate": OP4}
