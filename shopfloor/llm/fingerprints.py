@@ -148,3 +148,16 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks:
         canonical = canonical | reduce(and_, skipped, F.col("t") == t)
     found = keyed(queries, "query").join(keyed(prints, "found"), ["t", "k"])
     return found.where((F.bit_count(apart) <= radius) & canonical).select("query", "found")
+
+
+def count_within(rows: DataFrame, asking: Column, radius: int = RADIUS, blocks: int = BLOCKS, column: str = "_fingerprint") -> DataFrame:
+    """Add ``n_within``: for rows for which ``asking`` holds, how many rows lie within the radius of theirs, itself included; else null.
+
+    ``rows`` is read more than once. Rows of one fingerprint are counted first, so copies make no pairs.
+    More blocks give longer keys, and so fewer chance meetings in larger tables, for more tables.
+    """
+    counts = rows.groupBy(column).agg(F.count("*").alias("_rows"))
+    queries = rows.where(asking).select(column).distinct()
+    pairs = within(queries, counts.select(column), radius, blocks, column)
+    near = pairs.join(counts, pairs["found"] == counts[column]).groupBy("query").agg(F.sum("_rows").alias("n_within"))
+    return rows.join(near, asking & (F.col(column) == F.col("query")), "left").drop("query")

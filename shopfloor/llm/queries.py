@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.llm import byte_bpe, chat, decontaminate, fingerprints, langid, licenses, near_dedup, pii, sharding, toxicity
+from shopfloor.session import stage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,8 +90,9 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprints.compare_with_edits(_table(spark, sf_dir, "documents"))
-    return found.select(
+    """Fingerprints and likenesses; documents whose id is divisible by 20 also ask how many lie within three bits of theirs."""
+    found = stage(fingerprints.compare_with_edits(_table(spark, sf_dir, "documents")), "fingerprints")
+    return fingerprints.count_within(found, F.col("doc_id") % 20 == 0).select(
         "doc_id",
         "n_chars",
         "edited_sha256",
@@ -98,6 +100,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.as_hex(F.col("_edited")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
+        "n_within",
     )
 
 

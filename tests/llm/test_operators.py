@@ -402,6 +402,15 @@ def test_block_tables_find_all_within_the_radius(spark):
     assert set(got) == wanted and len(got) == len(wanted)
 
 
+def test_rows_within_the_radius_are_counted(docs):
+    rows = fingerprints.compare_with_edits(docs)
+    got = {r.doc_id: (r._fingerprint, r.n_within) for r in fingerprints.count_within(rows, F.col("doc_id") % 20 == 0).collect()}
+    prints = [f for f, _ in got.values()]
+    assert len(got) == rows.count()
+    for i, (f, n) in got.items():
+        assert n == (sum(((f ^ g) % (1 << 64)).bit_count() <= 3 for g in prints) if i % 20 == 0 else None)
+
+
 # --- sharding
 
 
