@@ -47,24 +47,39 @@ SOURCES = {
 }
 
 
+DIMENSIONS = ("dim_machines", "dim_products")
+
+
+def _landed(spark: SparkSession, landing: str, name: str) -> DataFrame:
+    folder, pattern, contract = SOURCES[name]
+    return files.read_landed(spark, f"{landing.rstrip('/')}/{folder}", contract, pattern)
+
+
 def bronze(spark: SparkSession, landing: str, lake: Lake, infer: bool = False) -> dict[str, int]:
-    """Copy every source as it is, with lineage columns; returns the rows landed per table."""
+    """Copy every source, with lineage columns; returns the rows landed per table.
+
+    Broken lines, misfitting values and undeclared fields are kept (``files.parse_lines``). With ``infer``
+    the columns are those found in the files.
+    """
     landed = {}
-    for name, (folder, pattern, contract) in SOURCES.items():
-        raw = files.read_json(
-            spark, f"{landing.rstrip('/')}/{folder}", None if infer else contract, glob_filter=pattern
-        )
+    for name, (folder, pattern, _) in SOURCES.items():
+        path = f"{landing.rstrip('/')}/{folder}"
+        raw = files.read_json(spark, path, glob_filter=pattern) if infer else _landed(spark, landing, name)
         landed[name] = lake.write(raw, "bronze", name)
     return landed
 
 
 def bronze_incremental(spark: SparkSession, landing: str, lake: Lake) -> None:
-    """Append only the files that landed since the last call, each exactly once.
+    """Append only the fact files that landed since the last call, each exactly once; load the dimensions anew.
 
-    The state lies in the lake. A bronze table is fed either this way or by ``bronze``, not by both.
+    Dimension files are edited in place, so each call takes them whole. The state lies in the lake. A
+    bronze table is fed either this way or by ``bronze``, not by both.
     """
     for name, (folder, pattern, contract) in SOURCES.items():
-        stream = landed_json(spark, f"{landing.rstrip('/')}/{folder}", contract, pattern)
+        if name in DIMENSIONS:
+            lake.write(_landed(spark, landing, name), "bronze", name)
+            continue
+        stream = landed_json(spark, f"{landing.rstrip('/')}/{folder}", contract, pattern, lossless=True)
         ingest_available(stream, lake.path("bronze", name), lake.path("_checkpoints", name), lake.fmt)
 
 
@@ -108,7 +123,7 @@ def gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
         "machine_id", "machine_name", "line", "machine_type"
     )
     products = lake.read(spark, "bronze", "dim_products")
-    runs = silver_table(spark, lake, "mes_runs").drop("_ingest_time", "_source_file")
+    runs = silver_table(spark, lake, "mes_runs").drop("_ingest_time", "_source_file", files.CORRUPT, files.UNDECLARED)
     written = {"run_oee": lake.write(marts.run_oee(runs, products), "silver", "run_oee", partition_by="run_date")}
     oee = lake.read(spark, "silver", "run_oee")
 

@@ -382,6 +382,19 @@ ORACLE: dict[str, str] = {
                         FROM (SELECT *, o_orderkey % 3 = 0 OR o_orderkey % 10 = 9 AS changed FROM orders)""",
     # files, catalog, streams
     "q_bronze_json_roundtrip": sql("runs", "SELECT * FROM runs"),
+    "q_bronze_drift": """SELECT CASE WHEN event_id % 7 <> 0 THEN event_id END AS event_id,
+                                CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 1.5e0
+                                     WHEN event_id % 3 = 0 THEN NULL ELSE 2.5e0 END AS value,
+                                CASE WHEN event_id % 7 <> 0 AND event_id % 5 = 0 THEN 'op' || (event_id % 3) END AS operator,
+                                CASE WHEN event_id % 7 = 0 THEN 'broken line ' || event_id
+                                     WHEN event_id % 5 <> 0 AND event_id % 3 = 0
+                                     THEN '{"event_id": ' || event_id || ', "value": "12a"}' END AS kept_line
+                         FROM events""",
+    "q_gate_halves": sql(
+        "runs",
+        """SELECT *, coalesce(machine_id IS NOT NULL AND product_id IS NOT NULL AND total_units > 0 AND good_units >= 0
+                              AND good_units <= total_units, false) AS is_valid FROM runs""",
+    ),
     "q_bronze_lineage": """SELECT count(*) AS row_count, count(*) AS with_time, count(*) AS with_file,
                                   count(DISTINCT user_id) AS machines FROM events""",
     "q_csv_seed_scan": _SEED,

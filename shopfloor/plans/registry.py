@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from shopfloor.functions.cleaning import padded_id, parsed_timestamp, standard_code
 from shopfloor.functions.kpi import kelvin_to_celsius
@@ -347,6 +348,34 @@ def q_bronze_json_roundtrip(p: Plant) -> DataFrame:
     return files.read_table(p.spark, f"{base}/mes_runs").drop("_ingest_time", "_source_file")
 
 
+@query
+def q_bronze_drift(p: Plant) -> DataFrame:
+    """Lines that are broken, that have a value of another type or an undeclared field: all is kept."""
+    base = work_folder(p.spark, "drift")
+    line = F.expr(
+        """CASE WHEN event_id % 7 = 0 THEN concat('broken line ', event_id)
+                WHEN event_id % 5 = 0 THEN concat('{"event_id": ', event_id, ', "value": 1.5, "operator": "op', event_id % 3, '"}')
+                WHEN event_id % 3 = 0 THEN concat('{"event_id": ', event_id, ', "value": "12a"}')
+                ELSE concat('{"event_id": ', event_id, ', "value": 2.5}') END"""
+    )
+    p.table("events").select(line.alias("value")).write.text(f"{base}/landing")
+    contract = StructType([StructField("event_id", LongType()), StructField("value", DoubleType())])
+    files.write_table(files.read_landed(p.spark, f"{base}/landing", contract), f"{base}/bronze")
+    return files.read_table(p.spark, f"{base}/bronze").select(
+        "event_id", "value", F.col(files.UNDECLARED)["operator"].alias("operator"), F.col(files.CORRUPT).alias("kept_line")
+    )
+
+
+@query
+def q_gate_halves(p: Plant) -> DataFrame:
+    """Both halves of the run gate, written in one pass and read back."""
+    path = f"{work_folder(p.spark, 'halves')}/runs"
+    runs = p.runs()
+    gates.write_split(runs, gates.RUN_GATE, path)
+    good = gates.read_half(p.spark, path, runs.schema, True).withColumn("is_valid", F.lit(True))
+    return good.unionByName(gates.read_half(p.spark, path, runs.schema, False))
+
+
 @query
 def q_bronze_lineage(p: Plant) -> DataFrame:
     base = work_folder(p.spark, "lineage")

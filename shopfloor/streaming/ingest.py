@@ -5,23 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from shopfloor.sources.files import stamp_lineage
+from shopfloor.sources.files import parse_lines, stamp_lineage
 
 
 def landed_json(
     spark: SparkSession,
     path: str,
-    schema: StructType | str,
+    schema: StructType,
     glob_filter: str | None = None,
     max_files: int | None = None,
     lineage: bool = True,
+    lossless: bool = False,
 ) -> DataFrame:
-    """Streaming counterpart of ``read_json``."""
-    reader = spark.readStream.schema(schema)
+    """Streaming counterpart of ``read_json``, or with ``lossless`` of ``read_landed``."""
+    reader = spark.readStream if lossless else spark.readStream.schema(schema)
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if lossless:
+        return parse_lines(stamp_lineage(reader.text(path)), schema)
     df = reader.json(path)
     return stamp_lineage(df) if lineage else df
 
