@@ -47,12 +47,32 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
 
 
-def units(text: Column) -> Column:
-    """Lines, paragraphs and the whole of a text in normal form: lower-case words of letters and digits between single spaces."""
-    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
+def telling_words(grams: Counter, threshold: float) -> set[str]:
+    """Words of which a unit as like the template as ``threshold`` must have one.
+
+    Such a unit lacks so few of the template's bigrams that it can't lack all bigrams of these words. Long
+    words come first, as they are rare elsewhere.
+    """
+    m = sum(grams.values())
+    least_common = math.ceil(threshold * (bounds(m, threshold)[0] + m) / 2 - 1e-9)
+    chosen: set[str] = set()
+    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
+        if sum(c for g, c in grams.items() if chosen & set(g.split())) > m - least_common:
+            break
+        chosen.add(word)
+    return chosen
+
+
+def normal(text: Column) -> Column:
+    """Lower-case words of letters and digits between single spaces; line ends stay."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def units(plain: Column) -> Column:
+    """Lines, paragraphs and the whole of a text in normal form, without line ends and outer spaces."""
     lines = F.split(plain, "\n")
     paragraphs = F.split(F.regexp_replace(plain, r"\n ?(\n ?)+", "\u0001"), "\u0001")
-    flat = F.transform(F.concat(paragraphs, F.array(plain)), lambda u: F.regexp_replace(u, r"[\n ]+", " "))
+    flat = F.transform(F.array_union(paragraphs, F.array(plain)), lambda u: F.regexp_replace(u, r"[\n ]+", " "))
     return F.array_distinct(F.transform(F.concat(lines, flat), lambda u: F.trim(u)))
 
 
@@ -84,10 +104,15 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] =
             for (name, grams), (low, high) in zip(known, sizes)
         ]
     )
-    chosen = F.filter(units(F.col(f"`{text}`")), lambda u: fits_any(_bigram_count(u)))
+    # Each step is a column of its own: what is used more than once is then worked out once.
+    steps = docs.select("*", normal(F.col(f"`{text}`")).alias("_licenses_plain"))
+    telling = F.array(*[F.lit(w) for w in sorted(set().union(*[telling_words(grams, threshold) for _, grams in known]))])
+    hopeful = F.arrays_overlap(F.split(F.translate("_licenses_plain", "\n", " "), " "), telling)
+    steps = steps.withColumn("_licenses_units", F.when(hopeful, units(F.col("_licenses_plain"))).otherwise(F.array().cast("array<string>")))
+    chosen = F.filter("_licenses_units", lambda u: fits_any(_bigram_count(u)))
     worded = F.transform(chosen, lambda u: F.split(u, " "))
     paired = F.transform(worded, lambda w: F.transform(F.slice(w, F.lit(1), F.size(w) - 1), lambda x, i: F.concat(x, F.lit(" "), F.get(w, i + 1))))
-    likely = F.filter(paired, lambda b: F.arrays_overlap(b, every))
+    steps = steps.withColumn("_licenses_likely", F.filter(paired, lambda b: F.arrays_overlap(b, every)))
 
     def common(b: Column, t: Column) -> Column:
         return F.aggregate(t["grams"], F.lit(0), lambda total, g: total + F.least(g["c"], F.size(F.filter(b, lambda x: x == g["gram"]))))
@@ -96,11 +121,15 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] =
         near = F.filter(table, lambda t: F.size(b).between(t["low"], t["high"]))
         return F.transform(near, lambda t: F.struct(t["license"].alias("license"), (2.0 * common(b, t) / (F.size(b) + t["n"])).alias("dice")))
 
-    found = F.filter(F.flatten(F.transform(likely, judged)), lambda f: f["dice"] >= threshold)
-    names = F.array_sort(F.array_distinct(F.transform(found, lambda f: f["license"])))
-    best = F.transform(names, lambda n: F.struct(n.alias("license"), F.array_max(F.transform(F.filter(found, lambda f: f["license"] == n), lambda f: f["dice"])).alias("dice")))
-    rest = [c for c in docs.columns if c != "licenses"]
-    return docs.select(*[f"`{c}`" for c in rest], best.alias("licenses"))
+    found = F.filter(F.flatten(F.transform("_licenses_likely", judged)), lambda f: f["dice"] >= threshold)
+    steps = steps.withColumn("_licenses_found", found)
+    names = F.array_sort(F.array_distinct(F.transform("_licenses_found", lambda f: f["license"])))
+
+    def best(name: Column) -> Column:
+        return F.array_max(F.transform(F.filter("_licenses_found", lambda f: f["license"] == name), lambda f: f["dice"]))
+
+    listed = F.transform(names, lambda n: F.struct(n.alias("license"), best(n).alias("dice")))
+    return steps.select(*[f"`{c}`" for c in docs.columns if c != "licenses"], listed.alias("licenses"))
 
 
 def _any(conditions: list[Column]) -> Column:

@@ -461,6 +461,20 @@ def test_licences_by_lines_paragraphs_and_whole(spark, odd, none):
         licenses.scan(odd, templates=[("x", "one")])
 
 
+def test_telling_words_lose_no_match():
+    rng = random.Random(3)
+    for _, body in licenses.TEMPLATES:
+        grams = licenses.bigrams_of(body)
+        telling = licenses.telling_words(grams, 0.8)
+        own = body.lower().replace(".", "").split()
+        for _ in range(200):
+            kept = [w for w in own if rng.random() > 0.1]
+            n = Counter(zip(kept, kept[1:]))
+            common = sum((n & Counter(zip(own, own[1:]))).values())
+            if kept and 2 * common >= 0.8 * (sum(n.values()) + len(own) - 1):
+                assert set(licenses.bigrams_of(" ".join(kept))) and telling & {w for g in licenses.bigrams_of(" ".join(kept)) for w in g.split()}
+
+
 def test_size_bounds_lose_no_match():
     for n in range(1, 60):
         low, high = licenses.bounds(n, 0.8)
