@@ -6,7 +6,7 @@ import argparse
 
 from shopfloor.plans import medallion
 from shopfloor.plans.prediction import predict_failures
-from shopfloor.session import get_spark
+from shopfloor.session import drop_staged, get_spark
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
         report = predict_failures(spark, args.seed_csv, args.metrics)
         for table in (report.balance, report.duplicates, report.metrics, report.importances):
             table.show(truncate=False)
+        drop_staged(spark)
         return
     if not args.lake or (args.step in ("bronze", "ingest", "all") and not args.landing):
         parser.error("--lake is needed, and --landing for bronze, ingest and all")
@@ -43,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
         print("history version", medallion.machine_history(spark, lake, args.effective))
     if args.step in ("gold", "all"):
         print("gold", medallion.gold(spark, lake))
+    drop_staged(spark)
 
 
 if __name__ == "__main__":

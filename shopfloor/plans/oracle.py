@@ -421,14 +421,15 @@ ORACLE: dict[str, str] = {
     "q_fn_datetime": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
                                CAST(o_orderdate AS DATE) - CAST(o_orderkey % 90 AS INT) AS earlier,
                                CAST(year(o_orderdate) AS INT) AS year, CAST(weekofyear(o_orderdate) AS INT) AS week,
-                               true AS parses, true AS bad_text_is_null, true AS has_today
+                               CAST(o_orderdate AS DATE) AS parsed_day,
+                               CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) END AS parsed_or_null,
+                               CAST(o_orderkey % 9 AS INT) AS days_back
                         FROM orders""",
     "q_fn_math": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {r('l_extendedprice / 7', 1)} AS round1,
                             {r('l_tax * l_discount')} AS round3, CAST(floor(l_extendedprice / 100) AS BIGINT) AS floored,
                             abs(l_quantity - 25) AS distance, least(l_quantity / 10, 1e0) AS capped,
                             least(CASE WHEN l_orderkey % 2 = 0 THEN l_quantity / 10 END, 1e0) AS capped_null,
-                            {r('1 - l_discount', 2)} AS complement, {r('l_quantity + 300 - 273.15e0', 2)} AS celsius,
-                            true AS rand_in_range
+                            {r('1 - l_discount', 2)} AS complement, {r('l_quantity + 300 - 273.15e0', 2)} AS celsius
                      FROM lineitem""",
     "q_fn_conditional": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                                   CASE WHEN l_returnflag = 'R' THEN 'returned' WHEN l_linestatus = 'O' THEN 'open'
@@ -467,6 +468,15 @@ ORACLE: dict[str, str] = {
                   + CASE WHEN pos > n * 3 // 5 THEN 1 ELSE 0 END + CASE WHEN pos > n * 4 // 5 THEN 1 ELSE 0 END AS fold
            FROM hashed""",
     ),
+    "q_ml_predictions": sql(
+        "hashed",
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, true AS is_share, true AS is_likelier
+           FROM hashed WHERE pos > n * 3 // 4""",
+    ),
+    "q_ml_importance": """SELECT 'discount,quantity,retailprice,size,tax' AS features, 1e0 AS total,
+                                 CAST(3 AS BIGINT) AS in_top, true AS top_is_largest""",
+    "q_ml_metrics": """SELECT 'predictive_maintenance_rf' AS run_name, metric, true AS fits
+                       FROM (VALUES ('test_auc'), ('precision'), ('recall'), ('f1'), ('cv_auc_mean'), ('cv_auc_std')) t(metric)""",
     "q_confusion_metrics": sql(
         "learning",
         f"""SELECT tp, fp, fn, tn, {r('tp * 1e0 / nullif(tp + fp, 0)', 6)} AS "precision",

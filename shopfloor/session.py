@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +21,7 @@ _SETTINGS = {
 
 
 _own_dirs: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def get_spark(app_name: str, master: str | None = None, extra: dict[str, str] | None = None) -> SparkSession:
@@ -38,7 +41,7 @@ def get_spark(app_name: str, master: str | None = None, extra: dict[str, str] |
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without that setting gets a temporary folder of its own, removed at the end.
     """
     configured = spark.conf.get(SHARED_DIR_KEY, None) or spark.sparkContext.getConf().get(SHARED_DIR_KEY, None)
     if configured:
@@ -48,6 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="shopfloor-")
+        atexit.register(shutil.rmtree, _own_dirs[app], ignore_errors=True)
     return _own_dirs[app]
 
 
@@ -60,8 +64,20 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where one result feeds several branches: the lineage behind it runs once, and a lost
-    executor re-reads files instead of recomputing.
+    executor re-reads files instead of recomputing. Frames read it lazily, so it stays until
+    ``drop_staged``.
     """
     path = work_folder(df.sparkSession, label)
+    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete all that ``stage`` has written in this application so far; frames that read it are void after that."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(hadoop).delete(place, True)
+    return len(paths)
