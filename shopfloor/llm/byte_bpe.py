@@ -26,7 +26,7 @@ from shopfloor.llm import words
 from shopfloor.llm.ship import mapped
 
 #: Pieces a task remembers, and the longest of them in characters.
-KNOWN_PIECES, LONGEST_KNOWN = 300_000, 64
+KNOWN_PIECES, LONGEST_KNOWN = 100_000, 64
 
 
 def byte_characters() -> list[str]:
@@ -70,7 +70,7 @@ def _plain_form(pattern: str) -> str | None:
 
 
 class Codec:
-    """Encoder and decoder of one rank file."""
+    """Encoder by one rank file."""
 
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use every core
@@ -84,11 +84,7 @@ class Codec:
         self._pieces = regex.compile(pattern)
         self._plain_pieces = re.compile(plain) if (plain := _plain_form(pattern)) else None
         self._known: dict[str, bytes] = {}
-        top = max(ranks.values()) + 1
-        self.bytes_of: list[bytes] = [b""] * top
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
-        self.lengths = np.array([len(t) for t in self.bytes_of], np.int64)
+        self.lengths = np.array([len(t) for t in token_bytes(path)], np.int64)
 
     def _split(self, text: str) -> list[str]:
         if self._plain_pieces:
@@ -123,9 +119,21 @@ class Codec:
         starts = ends - self.lengths[ids]
         return before[starts + 1] - 1, before[ends]
 
-    def decode(self, ids: bytes) -> bytes:
-        table = self.bytes_of
-        return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each token, by rank."""
+    ranks = read_ranks(path)
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
+def decode_ids(ids: bytes, path: str) -> bytes:
+    """What little-endian unsigned 32-bit ids stand for."""
+    table = token_bytes(path)
+    return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 @lru_cache(maxsize=2)
@@ -176,13 +184,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", layout:
     return _with(docs, text, [T.StructField(c, ints) for c in ("token_ids", "token_starts", "token_ends")], arrays)
 
 
-def decode(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
+def decode(docs: DataFrame, path: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
     """Add the bytes that the ids (either layout of ``encode``) stand for, as binary ``into``. Null ids give no bytes."""
 
     def make(rows):
-        own = codec(path, pattern)
         rows = [r if isinstance(r, bytes | None) else np.array(r, "<u4").tobytes() for r in rows]
-        return [pa.array([own.decode(r or b"") for r in rows], pa.binary())]
+        return [pa.array([decode_ids(r or b"", path) for r in rows], pa.binary())]
 
     fields = [T.StructField(into, T.BinaryType())]
     names = [c for c in docs.columns if c != into]

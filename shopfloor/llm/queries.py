@@ -65,7 +65,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern, layout="packed").select("doc_id", "token_ids")
-    decoded = byte_bpe.decode(encoded, path, pattern)
+    decoded = byte_bpe.decode(encoded, path)
     return decoded.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),

@@ -29,7 +29,7 @@ from shopfloor.llm.ship import mapped
 WINDOW, STRIDE = 32, 16
 #: Character runs of a word: its first so many bytes, and its last three.
 BEGINNINGS, ENDING = (2, 3, 4, 5, 6, 8), 3
-_SLICE_BYTES = 1 << 20
+_SLICE_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -271,8 +271,11 @@ def train(texts: list[str], labels: list[int], settings: Settings = Settings(),
         net.weights["bias"][:] = 4 if len(y) and y[0] == 1 else -4
         return net
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"])
-    _, data, offsets = next(words.slices(batch, "t", 1 << 40))
-    number, firsts, hashes, run_hashes = word_hashes(data, offsets)
+    parts = [word_hashes(data, offsets) for _, data, offsets in words.slices(batch, "t", _SLICE_BYTES)]
+    hashes, place = np.unique(np.concatenate([h for _, _, h, _ in parts]), return_index=True)
+    run_hashes = np.concatenate([runs for _, _, _, runs in parts])[place]
+    number = np.searchsorted(hashes, np.concatenate([h[n] for n, _, h, _ in parts])).astype(np.int32)
+    firsts = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(f) for _, f, _, _ in parts]))])
     r = np.random.default_rng(settings.seed)
     apart = np.zeros(len(y), bool)
     for value in (0, 1):

@@ -1,7 +1,7 @@
 """Words of many texts at once, on the UTF-8 bytes of an Arrow column.
 
 Every function works on a slice of rows of bounded size (``slices``), so a task never holds the
-arrays of more than a few megabytes of text, or of one text if that is longer.
+arrays of more than half a megabyte of text, or of one text if that is longer.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)

@@ -161,12 +161,12 @@ def test_marking_odd_rows_and_empty_tables(spark, odd, none):
 def test_tokens_are_those_of_the_rank_file(docs, texts, odd):
     ranks = byte_bpe.read_ranks(PATH)
     own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    rows = byte_bpe.decode(byte_bpe.encode(docs, PATH, PATTERN), PATH, PATTERN).collect()
+    rows = byte_bpe.decode(byte_bpe.encode(docs, PATH, PATTERN), PATH).collect()
     assert len(rows) == len(texts)
     for r in rows:
         assert r.token_ids == own.encode_ordinary(texts[r.doc_id]) and bytes(r.decoded).decode() == texts[r.doc_id]
         assert r.token_starts == own.decode_with_offsets(r.token_ids)[1] and r.token_ends[-1:] in ([], [len(r.text)])
-    packed = byte_bpe.decode(byte_bpe.encode(odd, PATH, PATTERN, layout="packed"), PATH, PATTERN).collect()
+    packed = byte_bpe.decode(byte_bpe.encode(odd, PATH, PATTERN, layout="packed"), PATH).collect()
     assert len(packed) == 9
     for r in packed:
         assert np.frombuffer(r.token_ids, "<u4").tolist() == own.encode_ordinary(r.text or "") and bytes(r.decoded).decode() == (r.text or "")
