@@ -158,7 +158,8 @@ def test_upsert_resumes_after_staging(spark, tmp_path, rows):
     merge.upsert_partitions(path, first, ["k"], "n", 0, log)
     # The batch was staged and logged, then the job died before the swap.
     staged = spark.createDataFrame([(2, "Y", 2021)], T)
-    staged.write.parquet(f"{log}_staged/batch-1")
+    staged.write.mode("overwrite").parquet(f"{log}/merged")
+    spark.createDataFrame([], "folder string").write.mode("overwrite").parquet(f"{log}/emptied")
     merge._record(spark, log, 1, "staged")
     merge.upsert_partitions(path, staged, ["k"], "n", 1, log)
     assert rows(spark.read.schema(first.schema).parquet(path)) == [(1, "x", 2020), (2, "Y", 2021)]
