@@ -12,6 +12,7 @@ stays within the slices, so no other exchange of texts is needed.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from itertools import combinations
 from operator import and_, or_
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 BITS = 64
 RADIUS, BLOCKS = 3, 6
+#: Rows that a slice should have, and slices at most.
+ROWS_A_SLICE, MOST_SLICES = 1000, 20_000
 #: Weights of one text sum up to less than this, as a text has at most 2^31 bytes.
 _LANE = 1 << 32
 
@@ -57,20 +60,36 @@ def as_hex(fingerprint: Column) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
 
 
-def with_successors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slices: int = 256) -> DataFrame:
+def _number_below(bounds: list, value: Column) -> Column:
+    """How many of the sorted numbers lie below ``value``: first among every k-th of them, then among the k that follow."""
+    if not bounds:
+        return F.lit(0)
+    k = math.isqrt(len(bounds)) + 1
+    runs = [bounds[i : i + k] for i in range(0, len(bounds), k)]
+
+    def below(numbers: Column) -> Column:
+        return F.size(F.filter(numbers, lambda b: b < value))
+
+    run = below(F.expr(f"array({', '.join(str(r[0]) for r in runs)})"))
+    listed = F.expr("array(" + ", ".join(f"array({', '.join(map(str, r))})" for r in runs) + ")")
+    return F.when(run == 0, 0).otherwise((run - 1) * k + below(F.get(listed, run - 1)))
+
+
+def with_successors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slices: int | None = None) -> DataFrame:
     """Rows ``_slice``, ``_pos``, ``_ghost``, ``_id``, ``_text`` and ``_next`` (the next row's text; after the last the first), dealt by slices.
 
     ``_pos`` is unique in a slice. A ghost is a copy of the next slice's first row, after all rows of its
     slice. Rows are ordered by id, nulls first, and rows of one id by a hash of the text. A null text
-    counts as empty.
+    counts as empty. ``slices`` follows the number of rows unless it is given; it changes nothing but the
+    size of tasks.
     """
+    slices = slices or min(max(docs.count() // ROWS_A_SLICE, 16), MOST_SLICES)
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
     rows = rows.withColumn("_hash", F.xxhash64("_text"))
     steps = [k / slices for k in range(1, slices)]
-    bounds = docs.select(F.percentile_approx(F.col(f"`{doc_id}`"), steps, 10_000)).first()[0] or []
+    bounds = docs.select(F.percentile_approx(F.col(f"`{doc_id}`"), steps, 5 * MOST_SLICES)).first()[0] or []
     bounds = sorted(set(bounds))
-    place = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col("_id"))) if bounds else F.lit(0)
-    rows = rows.withColumn("_slice", F.when(F.col("_id").isNull(), 0).otherwise(place))
+    rows = rows.withColumn("_slice", F.when(F.col("_id").isNull(), 0).otherwise(_number_below(bounds, F.col("_id"))))
     # One row for each slice.
     heads = rows.groupBy("_slice").agg(F.min(F.struct(F.col("_id").isNotNull().alias("known"), "_id", "_hash")).alias("head")).orderBy("_slice").collect()
     numbers = [h["_slice"] for h in heads]
@@ -87,7 +106,7 @@ def with_successors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return dealt.withColumns({"_pos": F.row_number().over(order), "_next": F.lead("_text").over(order)}).drop("_hash")
 
 
-def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slices: int = 256) -> DataFrame:
+def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", slices: int | None = None) -> DataFrame:
     """One row per row of ``docs``: id, ``n_chars``, ``edited_sha256``, ``_fingerprint``, ``_edited`` (longs), ``near_edited``, ``near_next``.
 
     The edited text has its last half (rounded down) replaced by as much of the beginning of the next

@@ -356,7 +356,7 @@ def test_the_machine_names_bad_turns(spark):
 
 
 def test_edits_and_successors(docs, texts):
-    rows = {r.doc_id: r for r in fingerprints.compare_with_edits(docs, slices=7).collect()}
+    rows = {r.doc_id: r for r in fingerprints.compare_with_edits(docs, slices=70).collect()}
     order = sorted(texts)
     assert len(rows) == len(order)
     for k, i in enumerate(order):
@@ -373,6 +373,12 @@ def test_edits_and_successors(docs, texts):
     assert np.mean([r.near_edited for r in rows.values()]) > 0.6 > np.mean([r.near_next for r in rows.values()])
 
 
+def test_numbers_below_are_counted(spark):
+    for bounds in ([], [5], list(range(0, 90, 3)), [2**40, 2**40 + 1]):
+        got = spark.range(-2, 100).select("id", fingerprints._number_below(bounds, F.col("id")).alias("n")).collect()
+        assert all(r.n == sum(b < r.id for b in bounds) for r in got)
+
+
 def test_votes_are_those_of_single_bits(spark):
     text = "The quick brown fox jumps over the lazy dog the quick brown fox"
     frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
