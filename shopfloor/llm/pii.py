@@ -1,35 +1,41 @@
 """Personal data in texts: rules for four kinds, and identifiers that only their context gives away.
 
 The rules find e-mail addresses, IPv4 addresses, card numbers and phone numbers. What they find are the
-seeds. The two words before a seed are a lexical pattern. Other strings that look like identifiers and
-stand behind the same words are candidates. Patterns and instances form a graph that is scored in rounds,
-as Spark jobs: a pattern's confidence is the weight of its reliable instances among all that stands
-behind its words anywhere in the corpus; a candidate's reliability is that of having one good pattern at
-least. Candidates behind patterns of high confidence are added to the spans.
+seeds, and so are quoted values of keys that name a secret (``token = "..."``); the latter are spans found
+by context, as the rules have no kind for them. Four forms of pattern are induced for each seed: the two
+words before it; the word before it with all that stands between; what stands after it with the next
+word; and what stands before it with the shape of its first word, if that is long and of letters and
+digits. Other strings that look like identifiers and stand at the same patterns are candidates. Patterns
+and instances form a graph that is scored in rounds, as Spark jobs: a pattern's confidence is the weight of
+its reliable instances among all places in the corpus that it fits; a candidate's reliability is that of
+having one good pattern at least. What stands at patterns of high confidence is added to the spans.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopfloor.llm import words
-from shopfloor.llm.decontaminate import Words, shingle_counts
+from shopfloor.llm.decontaminate import Words
 from shopfloor.llm.ship import mapped
 from shopfloor.session import stage
 
 #: Kinds of the rules, in the order of their spans; then that of spans found by context.
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
-#: Patterns whose words are counted in one pass over the corpus, at most.
-PATTERNS_AT_ONCE = 1 << 19
+#: Bits of the filter that lets most places of no pattern go unsent; the rest are joined exactly.
+FILTER_BITS = 22
+#: Bytes between a word and its neighbour, at most, that make up a pattern; and bytes of a word whose shape is one, at least.
+MOST_BETWEEN, LEAST_SHAPED = 16, 12
 
 
 @dataclass(frozen=True)
@@ -48,6 +54,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _CHUNK = re.compile(r"[^\s\"'<>()\[\]{},;|]+")
 _TRIM = ".,:;!?*#%&$=`~-"
+_VALUE = re.compile(r"""[=:][ \t]{0,3}(["'])([^"'\s]{8,})\1""")
+_SECRET_KEY = re.compile(r"""(?i)(?:token|secret|passw(?:or)?d|passphrase|pwd|credentials?|(?:api|access|private|secret|auth)[_-]?key|key)["']?[ \t]{0,3}$""")
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -105,25 +113,54 @@ def rule_spans(text: str) -> list[tuple[int, int, int]]:
     return [(k, a, b) for k, find in enumerate((emails, addresses, cards, phones)) for a, b in find(text)]
 
 
-def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Strings of five characters or more that have a digit, an @ or a _ and don't overlap what the rules found."""
-    busy = sorted((a, b) for _, a, b in taken)
-    found, k = [], 0
+def keyed_secrets(text: str) -> list[tuple[int, int]]:
+    """Quoted values of eight characters or more whose key names a secret."""
+    return [m.span(2) for m in _VALUE.finditer(text) if _SECRET_KEY.search(text, max(0, m.start() - 24), m.start())]
+
+
+def _chunk(text: str, m: re.Match) -> tuple[int, int]:
+    return m.start() + len(m[0]) - len(m[0].lstrip(_TRIM)), m.start() + len(m[0].rstrip(_TRIM))
+
+
+def _grouped(text: str) -> Iterator[tuple[int, int]]:
+    """Chunks of a text."""
     for m in _CHUNK.finditer(text):
-        start, end = m.start() + len(m[0]) - len(m[0].lstrip(_TRIM)), m.start() + len(m[0].rstrip(_TRIM))
-        own = text[start:end]
-        if len(own) < 5 or not any(c in "@_0123456789" for c in own):
+        a, b = _chunk(text, m)
+        if a >= b:
             continue
+        yield a, b
+
+
+def _free(spans: Iterator[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The spans, in order, that don't overlap those taken."""
+    busy, k = sorted(taken), 0
+    for start, end in spans:
         while k < len(busy) and busy[k][1] <= start:
             k += 1
         if k == len(busy) or busy[k][0] >= end:
-            found.append((start, end))
-    return found
+            yield start, end
+
+
+def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Strings of five characters or more that have a digit, an @ or a _ and don't overlap what the rules found."""
+    like = ((a, b) for a, b in _grouped(text) if b - a >= 5 and any(c in "@_0123456789" for c in text[a:b]))
+    return list(_free(like, [(a, b) for _, a, b in taken]))
+
+
+def filler(text: str, at: int) -> tuple[int, int] | None:
+    """What stands at a place that a trusted pattern names, of any length."""
+    m = _CHUNK.match(text, at)
+    if not m:
+        return None
+    start, end = _chunk(text, m)
+    if start >= end:
+        return None
+    return start, end
 
 
 def _maybe(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows with a digit, an @ or a _; no other row has a span or a candidate."""
-    hit = np.flatnonzero(((data >= 48) & (data <= 57)) | (data == 64) | (data == 95))
+    """Rows with a digit, an @, a _, a = or a colon; no other row has a seed or a candidate."""
+    hit = np.flatnonzero(((data >= 48) & (data <= 58)) | (data == 61) | (data == 64) | (data == 95))
     return np.unique(np.searchsorted(offsets, hit, "right") - 1)
 
 
@@ -133,58 +170,175 @@ _SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
 _SLOT_ARROW = pa.list_(pa.struct([("pattern", pa.int64()), ("instance", pa.int64()), ("seed", pa.bool_()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
+class Places:
+    """Pattern hashes at every word of the texts of a slice, by form; zero where a form has none."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.words = own = Words(data, offsets)
+        n = len(own.starts)
+        at = np.arange(n)
+        first = np.repeat(own.firsts[:-1], own.counts)
+        self.forms = np.zeros((4, n), np.uint64)
+        if not n:
+            return
+        pair = at[at - 2 >= first]
+        self.forms[0, pair] = own.hashes(pair - 2, np.full(len(pair), 2))
+        after = at[at - 1 >= first]
+        after = after[own.starts[after] - own.ends[after - 1] <= MOST_BETWEEN]
+        between = words.Hasher.of_bytes(own.data)(own.ends[after - 1], own.starts[after])
+        alone = own.hashes(at, np.ones(n, np.int64))
+        odd = np.uint64(0x9E3779B97F4A7C15)
+        self.forms[1, after] = words.mix(alone[after - 1] * odd + between + np.uint64(1))
+        self.forms[2, after - 1] = words.mix(alone[after] * odd + between + np.uint64(2))
+        digits, upper, hexes = (np.concatenate([[0], np.cumsum(x)]) for x in ((data >= 48) & (data <= 57), (data >= 65) & (data <= 90), (own.data >= 97) & (own.data <= 102)))
+        size = own.ends - own.starts
+        has = lambda x: x[own.ends] - x[own.starts]
+        kind = size * 4 + 2 * (has(upper) > 0) + (has(digits) + has(hexes) == size)
+        shaped = (size[after] >= LEAST_SHAPED) & (has(digits)[after] > 0) & (has(digits)[after] < size[after])
+        self.forms[3, after[shaped]] = words.mix(kind[after[shaped]].astype(np.uint64) * odd + between[shaped] + np.uint64(3))
+
+
 def _slots(texts: list[str], spans: list[list[tuple[bool, int, int]]]) -> list[list[dict]]:
-    """For each span (seed?, start, end) with two words before it: the words' hash and the span's text's hash."""
+    """For each span (seed?, start, end): the hashes of the patterns it stands at and of its text."""
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"])
     _, data, offsets = next(words.slices(batch, "t", 1 << 40))
-    own, exact = Words(data, offsets), words.Hasher.of_bytes(data)
-    out = []
+    places, exact = Places(data, offsets), words.Hasher.of_bytes(data)
+    own, out = places.words, []
     for row, (text, found) in enumerate(zip(texts, spans)):
         made, at, before = [], 0, int(offsets[row])
         for seed, start, end in sorted(found, key=lambda s: s[1:]):
             before, at = before + len(text[at:start].encode()), start
             after = before + len(text[start:end].encode())
-            k = int(np.searchsorted(own.starts, before))
-            k -= k > own.firsts[row] and own.ends[k - 1] > before
-            if k - 2 >= own.firsts[row]:
-                pattern = own.hashes(np.array([k - 2]), np.array([2]))
-                instance = exact(np.array([before]), np.array([after]))
-                made.append({"pattern": int(pattern.view(np.int64)[0]), "instance": int(instance.view(np.int64)[0]), "seed": seed, "start": start, "end": end})
+            k, m = int(np.searchsorted(own.starts, before)), int(np.searchsorted(own.starts, after)) - 1
+            if k > m or k > own.firsts[row] and own.ends[k - 1] > before:
+                continue
+            instance = int(exact(np.array([before]), np.array([after])).view(np.int64)[0])
+            for form in range(4):
+                pattern = int(places.forms[form].view(np.int64)[m if form == 2 else k])
+                if pattern:
+                    made.append({"pattern": pattern, "instance": instance, "seed": seed, "start": start, "end": end})
         out.append(made)
     return out
 
 
 def _detect(source: DataFrame, kept: list[str]) -> DataFrame:
-    """Rule spans (``pii_base``) and pattern slots (``_slots``) of the texts in ``_source``."""
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("pii_base", T.ArrayType(SPAN)), T.StructField("_slots", T.ArrayType(_SLOT))])
+    """Rule spans (``pii_base``), keyed secrets (``_keyed``) and pattern slots (``_slots``) of the texts in ``_source``."""
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("pii_base", T.ArrayType(SPAN)), T.StructField("_keyed", T.ArrayType(SPAN)), T.StructField("_slots", T.ArrayType(_SLOT))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in words.slices(batch, "_source"):
-                base, slots = [[] for _ in range(part.num_rows)], [[] for _ in range(part.num_rows)]
+                base, keyed, slots = [[[] for _ in range(part.num_rows)] for _ in range(3)]
                 rows = _maybe(data, offsets).tolist()
                 texts = part.column("_source").take(pa.array(rows, pa.int64())).to_pylist()
                 used, found = [], []
                 for row, text in zip(rows, texts):
                     own = rule_spans(text)
                     base[row] = [{"kind": KINDS[k], "start": a, "end": b} for k, a, b in own]
-                    more = candidates(text, own)
-                    if own or more:
+                    secret = list(_free(iter(keyed_secrets(text)), [(a, b) for _, a, b in own]))
+                    keyed[row] = [{"kind": CONTEXT, "start": a, "end": b} for a, b in secret]
+                    seeds = [*own, *((len(KINDS), a, b) for a, b in secret)]
+                    more = candidates(text, seeds)
+                    if seeds or more:
                         used.append((row, text))
-                        found.append([(True, a, b) for _, a, b in own] + [(False, a, b) for a, b in more])
+                        found.append([(True, a, b) for _, a, b in seeds] + [(False, a, b) for a, b in more])
                 if used:
                     for (row, _), made in zip(used, _slots([t for _, t in used], found)):
                         slots[row] = made
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(base, _SPAN_ARROW), pa.array(slots, _SLOT_ARROW)], [*kept, "pii_base", "_slots"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(base, _SPAN_ARROW), pa.array(keyed, _SPAN_ARROW), pa.array(slots, _SLOT_ARROW)], [*kept, "pii_base", "_keyed", "_slots"])
 
     return mapped(source, run, schema)
 
 
+def _filter_of(patterns: DataFrame) -> np.ndarray:
+    """A filter of fixed size that holds for all ``pattern`` of the frame: each task makes a part, the driver joins them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            bits[batch.column(0).to_numpy().view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)] = True
+        if bits.any():
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], ["part"])
+
+    packed = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for r in mapped(patterns.select("pattern"), run, "part binary").toLocalIterator():
+        packed |= np.frombuffer(zlib.decompress(r.part), np.uint8)
+    return packed
+
+
+def _fits(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    low = hashes & np.uint64((1 << FILTER_BITS) - 1)
+    return (packed[low >> np.uint64(3)] >> (np.uint64(7) - (low & np.uint64(7))).astype(np.uint8)) & 1 != 0
+
+
+def place_counts(docs: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
+    """``total``, the number of places that each ``pattern`` fits. Tasks send sums; what only passes the filter is joined away."""
+    packed = _filter_of(patterns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in words.slices(batch, "_source"):
+                forms = Places(data, offsets).forms.ravel()
+                found, n = np.unique(forms[(forms != 0) & _fits(packed, forms)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["pattern", "n"])
+
+    sent = mapped(docs.select(F.col(f"`{text}`").alias("_source")), run, "pattern long, n long")
+    return sent.groupBy("pattern").agg(F.sum("n").alias("total")).join(patterns, "pattern", "left_semi")
+
+
+def fillers_of(found: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(``_row``, ``start``, ``end``) of what stands at the trusted patterns in ``_source`` and is not in ``pii_base``."""
+    packed = _filter_of(trusted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in words.slices(batch, "_source"):
+                places = Places(data, offsets)
+                own, out, last = places.words, [], -1
+                form, word = np.nonzero((places.forms != 0) & _fits(packed, places.forms))
+                order = np.argsort(word, kind="stable")
+                rows = np.searchsorted(own.firsts, word[order], "right") - 1
+                for row, form_k, k in zip(rows.tolist(), form[order].tolist(), word[order].tolist()):
+                    if row != last:
+                        last, text = row, part.column("_source")[row].as_py()
+                        busy = [(x["start"], x["end"]) for x in part.column("pii_base")[row].as_py()]
+                        near, at, to, where = None, 0, int(offsets[row]), part.column("_row")[row].as_py()
+                    at += len(data[to : own.starts[k]].tobytes().decode())
+                    to = int(own.starts[k])
+                    if form_k == 2:
+                        near = list(_grouped(text)) if near is None else near
+                        end = at + len(data[own.starts[k] : own.ends[k]].tobytes().decode())
+                        span = next(((a, b) for a, b in near if a <= at < b and not any(c.isalnum() for c in text[end:b])), None)
+                        span = span if span and any(c in "@_0123456789" for c in text[span[0] : span[1]]) else None
+                    else:
+                        span = filler(text, at)
+                    if span and next(_free(iter([span]), busy), None):
+                        out.append((where, int(places.forms[form_k].view(np.int64)[k]), *span))
+                columns = list(zip(*out)) or [()] * 4
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["_row", "pattern", "start", "end"])
+
+    sent = mapped(found.select("_row", "_source", "pii_base"), run, "_row long, pattern long, start int, end int")
+    return sent.join(trusted, "pattern", "left_semi").select("_row", "start", "end").distinct()
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted spans (``kind``, ``start``, ``end``), overlapping ones as one."""
+    kind = "array<struct<kind:string,start:int,end:int>>"
+
+    def step(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        grown = F.struct(last["kind"].alias("kind"), last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(F.size(done) == 0, F.array(s)).when(last["end"] <= s["start"], F.concat(done, F.array(s))).otherwise(F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown))).cast(kind)
+
+    return F.aggregate(spans.cast(kind), F.array().cast(kind), step)
+
+
 def trusted_patterns(edges: DataFrame, fillers: DataFrame, rules: Bootstrap) -> DataFrame:
     """Patterns with enough confidence.
 
     ``edges`` are (``pattern``, ``instance``, ``seed``, ``n``); ``fillers`` (``pattern``, ``total``): how
-    often the pattern's words occur at all, whatever follows.
+    many places of the corpus the pattern fits at all.
     """
     reliable = edges.where("seed").select("instance").distinct().withColumn("r", F.lit(1.0))
     scored = None
@@ -206,27 +360,25 @@ def extract(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     spans. Repeated rows stay apart and have the same spans; as seeds, equal strings count once.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("pii_base", "pii_spans")]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.monotonically_increasing_id().alias("_row"), F.col(f"`{text}`").alias("_source"))
-    found = stage(_detect(source, [*kept, "_row"]), "pii")
+    # A later pass finds places by row and by place in the text, so both are staged together.
+    own = [] if text in kept else ["_text"]
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.monotonically_increasing_id().alias("_row"), *[F.col(f"`{text}`").alias(c) for c in [*own, "_source"]])
+    found = stage(_detect(source, [*kept, "_row", *own]), "pii")
     slots = found.where(F.size("_slots") > 0).select("_row", F.inline("_slots"))
     edges = slots.groupBy("pattern", "instance", "seed").agg(F.count("*").alias("n"))
-    enough = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"), F.count_if(~F.col("seed")).alias("others"))
-    patterns = stage(enough.where((F.col("seeds") >= rules.seeds) & (F.col("others") > 0)).select("pattern"), "pii-candidates")
-    blocks = -(-patterns.count() // PATTERNS_AT_ONCE)
-    plain = found.withColumn("pii_spans", F.col("pii_base"))
-    if not blocks:
-        return plain.select(*[f"`{c}`" for c in kept], "pii_base", "pii_spans")
-    spark, totals = docs.sparkSession, None
-    for k in range(blocks):
-        own = np.sort(np.array([r[0] for r in patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k).collect()], np.int64).view(np.uint64))
-        counted = shingle_counts(docs, text, own, [2])
-        rows = spark.createDataFrame([(int(own[i : i + 1].view(np.int64)[0]), n) for i, n in counted.items()], "pattern long, total long")
-        totals = rows if totals is None else totals.unionByName(rows)
-    edges = stage(edges.join(patterns, "pattern"), "pii-edges")
-    trusted = stage(trusted_patterns(edges, stage(totals, "pii-totals"), rules), "pii-trusted").select("pattern")
+    enough = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"))
+    patterns = stage(enough.where(F.col("seeds") >= rules.seeds).select("pattern"), "pii-candidates")
+    more = found.select("_row", F.inline("_keyed")).select("_row", "start", "end")
+    if not patterns.isEmpty():
+        totals = stage(place_counts(docs, text, patterns), "pii-totals")
+        edges = stage(edges.join(patterns, "pattern"), "pii-edges")
+        trusted = stage(trusted_patterns(edges, totals, rules).select("pattern"), "pii-trusted")
+        if not trusted.isEmpty():
+            texts = found.select("_row", F.col(f"`{(own or [text])[0]}`").alias("_source"), "pii_base")
+            more = more.unionByName(stage(fillers_of(texts, trusted), "pii-fillers"))
     extra = F.struct(F.lit(CONTEXT).alias("kind"), "start", "end")
-    more = slots.where("NOT seed").join(trusted, "pattern").groupBy("_row").agg(F.array_sort(F.collect_list(extra)).alias("_more"))
-    spans = F.concat("pii_base", F.coalesce("_more", F.array().cast(T.ArrayType(SPAN))))
+    more = more.groupBy("_row").agg(F.array_sort(F.collect_set(extra)).alias("_more"))
+    spans = F.concat("pii_base", F.coalesce(_merged(F.col("_more")), F.array().cast(T.ArrayType(SPAN))))
     return found.join(more, "_row", "left").withColumn("pii_spans", spans).select(*[f"`{c}`" for c in kept], "pii_base", "pii_spans")
 
 

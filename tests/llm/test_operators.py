@@ -305,6 +305,26 @@ def test_context_finds_unseen_identifiers_and_no_more(spark, odd, none):
     assert pii.masked("ab cd ef", [("ip", 0, 5), ("card", 3, 8)]) == "[IP]"
 
 
+def _context(frame):
+    return {r.doc_id: [r.text[s.start : s.end] for s in r.pii_spans if s.kind == "context"] for r in pii.extract(frame).collect()}
+
+
+def test_keyed_secrets_after_any_words_are_found(spark):
+    secret = [f"{i:040x}" for i in range(10**40, 10**40 + 12)]
+    rows = [(i, f'word{i} thing{i} token = "{s}" rest{i}') for i, s in enumerate(secret)] + [(50, 'the title = "something long" here'), (51, f"seen é{chr(10)}mytoken = '{secret[0]}'")]
+    rows += [(60 + i, f'word{i} other{i} tokenx{i} = "{s[::-1]}" rest{i}') for i, s in enumerate(secret[:3])]
+    got = _context(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all(got[i] == [s] for i, s in enumerate(secret)) and got[50] == [] and got[51] == [secret[0]]
+    assert all(got[60 + i] == [s[::-1]] for i, s in enumerate(secret[:3]))  # by the shape of the filler: the key names nothing
+
+
+def test_patterns_of_one_word_and_of_right_words(spark):
+    rows = [(i, f"alpha{i} contact user{i}@mail.example.com beta{i}") for i in range(20)] + [(30 + i, f"gamma{i} contact member-{i}77x delta") for i in range(3)]
+    rows += [(60 + i, f"zeta{i} user{i}@mail.example.com (verified{i % 2}) eta") for i in range(40)] + [(110, "iota member_99812 (verified1) kappa")]
+    got = _context(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all(got[30 + i] == [f"member-{i}77x"] for i in range(3)) and got[110] == ["member_99812"]
+
+
 def test_spans_of_the_table_are_those_of_the_patterns(docs, texts):
     got = {r.doc_id: [tuple(s) for s in r.pii_base] for r in pii.extract(docs, keep=["doc_id"]).collect()}
     assert got == {i: plain.personal(t) for i, t in texts.items()}
