@@ -123,12 +123,24 @@ def _chunk(text: str, m: re.Match) -> tuple[int, int]:
 
 
 def _grouped(text: str) -> Iterator[tuple[int, int]]:
-    """Chunks of a text."""
+    """Chunks of a text; those with digits that follow each other after one space count as one."""
+    start = end = -1
     for m in _CHUNK.finditer(text):
         a, b = _chunk(text, m)
         if a >= b:
             continue
-        yield a, b
+        digits = any(c.isdigit() for c in text[a:b])
+        if end >= 0 and digits and a == end + 1 and text[end] == " ":
+            end = b
+            continue
+        if end >= 0:
+            yield start, end
+        start, end = a, b
+        if not digits:
+            yield a, b
+            start = end = -1
+    if end >= 0:
+        yield start, end
 
 
 def _free(spans: Iterator[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
@@ -142,19 +154,26 @@ def _free(spans: Iterator[tuple[int, int]], taken: list[tuple[int, int]]) -> Ite
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Strings of five characters or more that have a digit, an @ or a _ and don't overlap what the rules found."""
+    """Strings of five characters or more that have a digit, an @ or a _ and don't overlap what the rules found; groups with digits count as one."""
     like = ((a, b) for a, b in _grouped(text) if b - a >= 5 and any(c in "@_0123456789" for c in text[a:b]))
     return list(_free(like, [(a, b) for _, a, b in taken]))
 
 
 def filler(text: str, at: int) -> tuple[int, int] | None:
-    """What stands at a place that a trusted pattern names, of any length."""
+    """What stands at a place that a trusted pattern names, of any length: groups with digits, capitalised words, or one word."""
     m = _CHUNK.match(text, at)
     if not m:
         return None
     start, end = _chunk(text, m)
     if start >= end:
         return None
+    same = (lambda t: any(c.isdigit() for c in t)) if any(c.isdigit() for c in text[start:end]) else (lambda t: t[:1].isupper() and t.isalpha())
+    while same(text[start:end].rpartition(" ")[2]) and end < len(text) and text[end] in " -":
+        m = _CHUNK.match(text, end + 1)
+        more = _chunk(text, m) if m else (0, 0)
+        if not m or more[0] != end + 1 or more[1] <= more[0] or not same(text[more[0] : more[1]]):
+            break
+        end = more[1]
     return start, end
 
 

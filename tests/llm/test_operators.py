@@ -325,6 +325,13 @@ def test_patterns_of_one_word_and_of_right_words(spark):
     assert all(got[30 + i] == [f"member-{i}77x"] for i in range(3)) and got[110] == ["member_99812"]
 
 
+@pytest.mark.parametrize("filler", ["DE89 3704 0044 0532 0130 00", "123 45 6789", "4111 1111 1111 1112", "12-34", "77", "Jane Doe", "hunter"])
+def test_fillers_of_trusted_patterns_are_whole(spark, filler):
+    rows = [(i, f"Lorem {i} ipsum. Reach me at user{i}@mail{i % 3}.example.com please") for i in range(30)] + [(100, f"Words é. Reach me at {filler}, or not")]
+    got = _context(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got[100] == [filler] and not any(got[i] for i in range(30))
+
+
 def test_spans_of_the_table_are_those_of_the_patterns(docs, texts):
     got = {r.doc_id: [tuple(s) for s in r.pii_base] for r in pii.extract(docs, keep=["doc_id"]).collect()}
     assert got == {i: plain.personal(t) for i, t in texts.items()}
