@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopfloor.llm import words
-from shopfloor.llm.ship import mapped
+from shopfloor.llm.ship import beside, mapped, renamed
 
 #: Pieces a task remembers, and the longest of them in characters.
 KNOWN_PIECES, LONGEST_KNOWN = 100_000, 64
@@ -145,8 +145,8 @@ def _with(docs: DataFrame, column: str, fields: list[T.StructField], make) -> Da
     """``docs`` without columns named as ``fields``, and ``fields`` made from ``column`` in slices of bounded size."""
     names = {f.name for f in fields}
     kept = [c for c in docs.columns if c not in names]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias("_source"))
-    schema = T.StructType([*source.schema.fields[:-1], *fields])
+    source = beside(docs, kept, _source=F.col(f"`{column}`"))
+    schema = T.StructType([*renamed(source.schema.fields, kept), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,7 +193,7 @@ def decode(docs: DataFrame, path: str, ids: str = "token_ids", into: str = "deco
 
     fields = [T.StructField(into, T.BinaryType())]
     names = [c for c in docs.columns if c != into]
-    source = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{ids}`").alias("_source"))
+    source = beside(docs, names, _source=F.col(f"`{ids}`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,4 +201,4 @@ def decode(docs: DataFrame, path: str, ids: str = "token_ids", into: str = "deco
                 part = batch.slice(at, 256)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *make(part.column("_source").to_pylist())], [*names, into])
 
-    return mapped(source, run, T.StructType([*source.schema.fields[:-1], *fields]))
+    return mapped(source, run, T.StructType([*renamed(source.schema.fields, names), *fields]))

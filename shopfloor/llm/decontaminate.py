@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shopfloor.llm import words
-from shopfloor.llm.ship import mapped
+from shopfloor.llm.ship import beside, mapped, named
 from shopfloor.session import stage
 
 WINDOW_WORDS = 13
@@ -205,7 +205,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     own_names = ["n_words", "hit_words", "hit_items"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in own_names]
     id_type = benchmark.schema[item_id].dataType
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_source"))
+    source = beside(docs, kept, _source=F.col(f"`{text}`"))
     fields = [T.StructField("n_words", T.LongType()), T.StructField("hit_words", T.ArrayType(T.IntegerType())), T.StructField("hit_items", T.ArrayType(id_type))]
     result = source.select("*", F.lit(None).cast("long").alias("n_words"), F.array().cast("array<int>").alias("hit_words"), F.array().cast(T.ArrayType(id_type)).alias("hit_items"))
     schema = T.StructType([*source.schema.fields, *fields])
@@ -240,7 +240,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
 
         result = mapped(stage(result, "decontaminate") if passes else result, run, schema)
         passes += 1
-    return result.select(*[f"`{c}`" for c in kept], *own_names)
+    return named(result, kept, *own_names)
 
 
 def decisions(marked: DataFrame) -> DataFrame:

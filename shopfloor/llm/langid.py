@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopfloor.llm import words
-from shopfloor.llm.ship import mapped
+from shopfloor.llm.ship import beside, mapped, renamed
 
 PROFILE_GRAMS = 300
 UNKNOWN = "und"
@@ -180,8 +180,8 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text", keep: list[
     """
     made = ["lang_pred", "score"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_source"))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    source = beside(docs, kept, _source=F.col(f"`{text}`"))
+    schema = T.StructType([*renamed(source.schema.fields, kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(profiles)  # a fixed number of n-grams for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,10 +13,6 @@ the result.
 
 All fingerprints that meet at one variant are within the radius of each other, hence a chain through
 them keeps every class whole without naming all pairs.
-
-``one_of_each_similar`` goes by the similarity itself: documents are linked if the sets of their shingles
-of five words have a Jaccard coefficient of 0.8 or more. Fingerprints within a few bits miss most such
-pairs, so candidates come from MinHash bands, and each link is then verified by the exact coefficient.
 """
 
 from __future__ import annotations
@@ -30,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,13 +42,6 @@ VARIANTS_AT_ONCE = 1 << 20
 #: Leading bits at least, and variants that a leading part should stand for at most.
 LEAST_BITS, VARIANTS_A_PART = 8, 1 << 22
 
-#: Of similar documents: words of a shingle, and the Jaccard coefficient of two sets of shingles.
-SIMILAR_WORDS = 5
-SIMILARITY = 0.8
-#: MinHash bands and values in each. A pair of coefficient j shares no band with probability (1 - j^4)^20: 3e-5 at 0.8.
-BANDS, BAND_VALUES = 20, 4
-_FLIPS, _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_VALUES), np.uint64) * np.uint64(2) + np.uint64(1)
-
 
 def _majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """For each run of ``counts`` hashes, the bits that over half of them have set; 0 for an empty run."""
@@ -261,129 +250,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each class the row with the smallest id; of repeated ids one row."""
-    rows = docs.withColumns({"_id": F.col(f"`{doc_id}`"), "_row": F.monotonically_increasing_id()})
-    prints = stage(fingerprints(rows, text, None, shingle_words), "fingerprints")
-    classes = _with_classes(prints.select("_fingerprint", "_id", "_row"), radius)
-    surplus = prints.select("_fingerprint", "_row").join(classes, "_fingerprint").where("_row <> _kept").select("_row")
-    return prints.join(stage(surplus, "surplus"), "_row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-
-
-def _shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the different shingles of each text of a slice, and how many each text has. A shorter text is one shingle."""
-    data = words.LOWER[data]
-    starts, ends, firsts = words.find(data, offsets, words.SOLID)
-    text, starts, ends = words.single_spaced(data, offsets, starts, ends)
-    n = np.diff(firsts)
-    counts = np.where(n == 0, 0, np.maximum(n - shingle_words + 1, 1))
-    row = np.repeat(np.arange(len(counts)), counts)
-    head = np.repeat(firsts[:-1], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    tail = np.minimum(head + shingle_words, np.repeat(firsts[1:], counts)) - 1
-    hashes = words.Hasher.of_bytes(np.frombuffer(text, np.uint8))(starts[head], ends[tail])
-    order = np.lexsort((hashes, row))
-    hashes, row = hashes[order], row[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
-    return hashes[new], np.bincount(row[new], minlength=len(counts))
-
-
-def _signatures(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each set: a digest of the whole, and one value for each band."""
-    sets, bands = np.zeros(len(counts), np.uint64), np.zeros((len(counts), BANDS), np.uint64)
-    full = np.flatnonzero(counts)
-    if len(full):
-        firsts = (np.cumsum(counts) - counts)[full]
-        sets[full] = words.mix(np.add.reduceat(words.mix(hashes), firsts) + counts[full].astype(np.uint64))
-        least = np.stack([np.minimum.reduceat((hashes ^ flip) * factor, firsts) for flip, factor in zip(_FLIPS, _FACTORS)])
-        for k in range(BANDS):
-            value = np.full(len(full), k, np.uint64)
-            for one in least[k * BAND_VALUES : (k + 1) * BAND_VALUES]:
-                value = words.mix(value * np.uint64(0x9E3779B97F4A7C15) + one)
-            bands[full, k] = value
-    return sets, bands
-
+    """The rows of ``docs`` without near-duplicates: of each class the row with the smallest id; of repeated ids one row.
 
-def _signed(rows: DataFrame, text: str, shingle_words: int) -> DataFrame:
-    """``rows`` with ``_set``, a digest of the set of shingles, ``_n``, its size, and ``_bands``."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("_set", T.LongType()), T.StructField("_n", T.LongType()), T.StructField("_bands", T.ArrayType(T.LongType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in words.slices(batch, text):
-                hashes, counts = _shingle_sets(data, offsets, shingle_words)
-                sets, bands = _signatures(hashes, counts)
-                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * BANDS), pa.array(bands.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sets.view(np.int64)), pa.array(counts.astype(np.int64)), listed], schema.names)
-
-    return mapped(rows, run, schema)
-
-
-def _with_shingles(rows: DataFrame, text: str, shingle_words: int) -> DataFrame:
-    """``_set`` of the rows with ``_shingles``, the hashes of their shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, offsets in words.slices(batch, text):
-                hashes, counts = _shingle_sets(data, offsets, shingle_words)
-                listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("_set"), listed], ["_set", "_shingles"])
-
-    return mapped(rows.select("_set", F.col(f"`{text}`")), run, "_set long, _shingles array<long>")
-
-
-def similar_links(members: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (``a``, ``b``) that join the same nodes as all pairs of a band with a coefficient of ``similarity`` or more.
-
-    ``members`` are (``band``, ``node``, ``n``), ``sets`` (``_set``, ``_shingles``) has the shingles of each node. In each
-    round some nodes of a band, twice as many as the round before, are compared with all others there that are not
-    joined to them yet, and then leave the band. So no pair that could join two classes is left out, and a large class
-    takes about one comparison for each member of a band.
-    """
-    spark, edges, roots, most = members.sparkSession, None, None, 1
-    while True:
-        known = members.join(roots, "node", "left") if roots is not None else members.withColumn("root", F.col("node"))
-        known = known.withColumn("root", F.coalesce("root", "node"))
-        parts = known.groupBy("band", "root").agg(F.count("*").alias("size"))
-        split = parts.groupBy("band").agg(F.count("*").alias("parts")).where("parts > 1").select("band")
-        known = stage(known.join(split, "band").join(parts, ["band", "root"]), "similar-open")
-        if known.isEmpty():
-            break
-        place = F.row_number().over(Window.partitionBy("band").orderBy("size", "node"))
-        pivots = stage(known.withColumn("place", place).where(F.col("place") <= most), "similar-pivots")
-        first = pivots.select("band", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-        second = known.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-        # The coefficient is at most the ratio of the sizes.
-        near = (F.col("ra") != F.col("rb")) & (F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb"))
-        pairs = first.join(second, "band").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        both = pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
-        common = F.size(F.array_intersect("_sa", "_sb"))
-        same = both.where(common >= F.lit(similarity) * (F.size("_sa") + F.size("_sb") - common) - F.lit(1e-9)).select("a", "b")
-        found = stage(same, "similar-links")
-        if not found.isEmpty():
-            edges = found if edges is None else edges.unionByName(found)
-            roots = stage(components(edges), "similar-roots")
-        members = known.select("band", "node", "n").join(pivots.select("band", "node"), ["band", "node"], "left_anti")
-        most *= 2
-    return edges if edges is not None else spark.createDataFrame([], "a long, b long")
-
-
-def one_of_each_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` without similar ones: of each class that links of ``similarity`` or more join, the row with the smallest id; of repeated ids one row.
-
-    Texts with the same set of shingles are one node; empty and null texts are one class.
+    All columns stay as they are, whatever their names. Null, empty and blank texts are one class (fingerprint
+    zero); of a class without any id one row stays. No rows give no rows.
     """
-    rows = docs.withColumns({"_id": F.col(f"`{doc_id}`"), "_row": F.monotonically_increasing_id()})
-    signed = stage(_signed(rows, text, shingle_words), "signatures")
-    first = F.struct(F.col("_id").isNull().alias("unknown"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    nodes = stage(signed.groupBy("_set").agg(F.min(first).alias("_first"), F.any_value("_n").alias("_n"), F.any_value("_bands").alias("_bands")), "nodes")
-    spread = nodes.where("_n > 0").select(F.explode("_bands").alias("band"), F.col("_set").alias("node"), F.col("_n").alias("n"))
-    shared = spread.groupBy("band").agg(F.count("*").alias("many")).where("many > 1").select("band")
-    members = stage(spread.join(shared, "band"), "bands")
-    asked = nodes.join(members.select(F.col("node").alias("_set")).distinct(), "_set").select(F.col("_first.row").alias("_row"))
-    sets = stage(_with_shingles(signed.join(asked, "_row"), text, shingle_words), "shingles")
-    found = stage(components(stage(similar_links(members, sets, similarity), "links")), "components").withColumnRenamed("node", "_set")
-    known = nodes.join(found, "_set", "left").select("_set", "_first", F.coalesce("root", "_set").alias("root"))
-    smallest = known.groupBy("root").agg(F.min("_first").alias("least"))
-    picked = stage(known.join(smallest, "root").select("_set", F.col("least.row").alias("_kept")), "classes")
-    surplus = signed.select("_set", "_row").join(picked, "_set").where("_row <> _kept").select("_row")
-    return signed.join(stage(surplus, "surplus"), "_row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    # The columns go under plain names, so that none can clash with those made here.
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select(*own, F.col(f"`{doc_id}`").alias("_id"), F.monotonically_increasing_id().alias("_row"))
+    prints = stage(fingerprints(rows, f"c{docs.columns.index(text)}", None, shingle_words), "fingerprints")
+    classes = _with_classes(prints.select("_fingerprint", "_id", "_row"), radius)
+    surplus = prints.select("_fingerprint", "_row").join(classes, "_fingerprint").where("_row <> _kept").select("_row")
+    return prints.join(stage(surplus, "surplus"), "_row", "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from shopfloor.llm import words
 from shopfloor.llm.decontaminate import Words
-from shopfloor.llm.ship import mapped
+from shopfloor.llm.ship import beside, mapped, named
 from shopfloor.session import stage
 
 #: Kinds of the rules, in the order of their spans; then that of spans found by context.
@@ -36,6 +36,8 @@ CONTEXT = "context"
 FILTER_BITS = 22
 #: Bytes between a word and its neighbour, at most, that make up a pattern; and bytes of a word whose shape is one, at least.
 MOST_BETWEEN, LEAST_SHAPED = 16, 12
+#: Sums that a task holds before it joins equal ones.
+HELD_SUMS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -240,16 +242,16 @@ def _slots(texts: list[str], spans: list[list[tuple[bool, int, int]]]) -> list[l
     return out
 
 
-def _detect(source: DataFrame, kept: list[str]) -> DataFrame:
-    """Rule spans (``pii_base``), keyed secrets (``_keyed``) and pattern slots (``_slots``) of the texts in ``_source``."""
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("pii_base", T.ArrayType(SPAN)), T.StructField("_keyed", T.ArrayType(SPAN)), T.StructField("_slots", T.ArrayType(_SLOT))])
+def _detect(source: DataFrame, shown: str) -> DataFrame:
+    """Rule spans (``pii_base``), keyed secrets (``_keyed``) and pattern slots (``_slots``) of the texts in ``shown``."""
+    schema = T.StructType([*source.schema.fields, T.StructField("pii_base", T.ArrayType(SPAN)), T.StructField("_keyed", T.ArrayType(SPAN)), T.StructField("_slots", T.ArrayType(_SLOT))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in words.slices(batch, "_source"):
+            for part, data, offsets in words.slices(batch, shown):
                 base, keyed, slots = [[[] for _ in range(part.num_rows)] for _ in range(3)]
                 rows = _maybe(data, offsets).tolist()
-                texts = part.column("_source").take(pa.array(rows, pa.int64())).to_pylist()
+                texts = part.column(shown).take(pa.array(rows, pa.int64())).to_pylist()
                 used, found = [], []
                 for row, text in zip(rows, texts):
                     own = rule_spans(text)
@@ -264,7 +266,7 @@ def _detect(source: DataFrame, kept: list[str]) -> DataFrame:
                 if used:
                     for (row, _), made in zip(used, _slots([t for _, t in used], found)):
                         slots[row] = made
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(base, _SPAN_ARROW), pa.array(keyed, _SPAN_ARROW), pa.array(slots, _SLOT_ARROW)], [*kept, "pii_base", "_keyed", "_slots"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(base, _SPAN_ARROW), pa.array(keyed, _SPAN_ARROW), pa.array(slots, _SLOT_ARROW)], schema.names)
 
     return mapped(source, run, schema)
 
@@ -291,18 +293,37 @@ def _fits(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def place_counts(docs: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
-    """``total``, the number of places that each ``pattern`` fits. Tasks send sums; what only passes the filter is joined away."""
+    """``total``, the number of places that each ``pattern`` fits.
+
+    Tasks send one sum for each pattern they have seen; what only passes the filter is joined away after all
+    sums are made, so the join meets each pattern once.
+    """
     packed = _filter_of(patterns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            found, at = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+            return found, np.bincount(at, np.concatenate([n for _, n in held]), len(found)).astype(np.int64)
+
         for batch in batches:
             for _, data, offsets in words.slices(batch, "_source"):
                 forms = Places(data, offsets).forms.ravel()
-                found, n = np.unique(forms[(forms != 0) & _fits(packed, forms)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["pattern", "n"])
+                held.append(np.unique(forms[(forms != 0) & _fits(packed, forms)], return_counts=True))
+                if sum(len(h) for h, _ in held) > HELD_SUMS:
+                    held = [summed()]
+                    if len(held[0][0]) > HELD_SUMS // 2:  # too many to hold: sent as they are, and summed after
+                        yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], ["pattern", "n"])
+                        held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        found, n = summed()
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["pattern", "n"])
 
     sent = mapped(docs.select(F.col(f"`{text}`").alias("_source")), run, "pattern long, n long")
-    return sent.groupBy("pattern").agg(F.sum("n").alias("total")).join(patterns, "pattern", "left_semi")
+    # Staged, or Spark would push the join below the sum.
+    totals = stage(sent.groupBy("pattern").agg(F.sum("n").alias("total")), "pii-places")
+    return totals.join(patterns, "pattern", "left_semi")
 
 
 def fillers_of(found: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -379,10 +400,11 @@ def extract(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
     spans. Repeated rows stay apart and have the same spans; as seeds, equal strings count once.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("pii_base", "pii_spans")]
-    # A later pass finds places by row and by place in the text, so both are staged together.
-    own = [] if text in kept else ["_text"]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.monotonically_increasing_id().alias("_row"), *[F.col(f"`{text}`").alias(c) for c in [*own, "_source"]])
-    found = stage(_detect(source, [*kept, "_row", *own]), "pii")
+    # A later pass finds places by row and by place in the text, so both are staged together, once.
+    shown = f"c{kept.index(text)}" if text in kept else "_text"
+    extra = {} if text in kept else {"_text": F.col(f"`{text}`")}
+    source = beside(docs, kept, _row=F.monotonically_increasing_id(), **extra)
+    found = stage(_detect(source, shown), "pii")
     slots = found.where(F.size("_slots") > 0).select("_row", F.inline("_slots"))
     edges = slots.groupBy("pattern", "instance", "seed").agg(F.count("*").alias("n"))
     enough = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"))
@@ -393,12 +415,12 @@ def extract(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
         edges = stage(edges.join(patterns, "pattern"), "pii-edges")
         trusted = stage(trusted_patterns(edges, totals, rules).select("pattern"), "pii-trusted")
         if not trusted.isEmpty():
-            texts = found.select("_row", F.col(f"`{(own or [text])[0]}`").alias("_source"), "pii_base")
+            texts = found.select("_row", F.col(shown).alias("_source"), "pii_base")
             more = more.unionByName(stage(fillers_of(texts, trusted), "pii-fillers"))
-    extra = F.struct(F.lit(CONTEXT).alias("kind"), "start", "end")
-    more = more.groupBy("_row").agg(F.array_sort(F.collect_set(extra)).alias("_more"))
+    spans = F.struct(F.lit(CONTEXT).alias("kind"), "start", "end")
+    more = more.groupBy("_row").agg(F.array_sort(F.collect_set(spans)).alias("_more"))
     spans = F.concat("pii_base", F.coalesce(_merged(F.col("_more")), F.array().cast(T.ArrayType(SPAN))))
-    return found.join(more, "_row", "left").withColumn("pii_spans", spans).select(*[f"`{c}`" for c in kept], "pii_base", "pii_spans")
+    return named(found.join(more, "_row", "left").withColumn("pii_spans", spans), kept, "pii_base", "pii_spans")
 
 
 def masked(text: str, spans: list[tuple[str, int, int]]) -> str:

@@ -6,7 +6,9 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import shopfloor
 
@@ -30,6 +32,20 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def beside(docs: DataFrame, kept: list[str], **more: Column) -> DataFrame:
+    """The columns ``kept`` as ``c0``, ``c1``, ..., and ``more``: names made for a task can't clash with those of the caller."""
+    return docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], *[column.alias(name) for name, column in more.items()])
+
+
+def named(df: DataFrame, kept: list[str], *more: str) -> DataFrame:
+    """The columns ``c0``, ``c1``, ... under the names ``kept`` again, and ``more``."""
+    return df.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *more)
+
+
+def renamed(fields: list[T.StructField], names: list[str]) -> list[T.StructField]:
+    return [T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, fields)]
+
+
 def mapped(df: DataFrame, function, schema) -> DataFrame:
     """``df.mapInArrow`` with this package on the workers."""
     ship(df.sparkSession)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopfloor.llm import words
-from shopfloor.llm.ship import mapped
+from shopfloor.llm.ship import beside, mapped, renamed
 
 WINDOW, STRIDE = 32, 16
 #: Character runs of a word: its first so many bytes, and its last three.
@@ -365,12 +365,14 @@ def _adam(weights: dict, grads: dict, moments: dict, step: int, rate: float, dec
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Network:
     """Fit on at most ``rows_per_class`` labelled rows of each class, chosen by a hash of the id among those with texts of at most ``longest_text`` bytes.
 
-    Rows without id, text or label are no examples. Repeated rows may be drawn again.
+    Rows without id, text or label are no examples. Repeated rows may be drawn again; of an id with several texts
+    the one with the least hash is read. The share of toxic texts is that of the examples, so labels of rows
+    that are not in ``docs`` have no effect.
     """
     known = labels.where(F.col(f"`{label}`").isin(0, 1)).select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").alias("_y"))
     sized = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.octet_length(F.col(f"`{text}`")).alias("_n")).where(F.col("_n").between(1, settings.longest_text))
     examples = known.join(sized.drop("_n"), "_id")
-    n = {row["_y"]: row["count"] for row in known.groupBy("_y").count().collect()}
+    n = {row["_y"]: row["count"] for row in examples.groupBy("_y").count().collect()}
     share = n.get(1, 0) / max(sum(n.values()), 1)
     chosen = {}
     for y in (0, 1):
@@ -379,7 +381,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc
     if not chosen:
         return train([], [], settings)
     ids = docs.sparkSession.createDataFrame([(i,) for i in chosen], f"_id {docs.schema[doc_id].dataType.simpleString()}")
-    texts = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text")).where("_text IS NOT NULL").join(F.broadcast(ids), "_id").dropDuplicates(["_id"]).orderBy("_id").collect()
+    texts = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text")).where("_text IS NOT NULL").join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text")).orderBy("_id").collect()
     return train([row["_text"] for row in texts], [chosen[row["_id"]] for row in texts], settings, share)
 
 
@@ -390,8 +392,8 @@ def score(docs: DataFrame, net: Network, text: str = "text", keep: list[str] | N
     """
     made = ["score", "predicted"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_source"))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    source = beside(docs, kept, _source=F.col(f"`{text}`"))
+    schema = T.StructType([*renamed(source.schema.fields, kept), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     sent = docs.sparkSession.sparkContext.broadcast(net)  # its size is fixed by the settings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
