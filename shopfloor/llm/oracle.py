@@ -77,5 +77,109 @@ FROM documents d LEFT JOIN found f USING (doc_id)
 """
 
 
+_SOLID = "regexp_extract_all(" + _LOWER + r", '[^\x20\x09-\x0D]+')"
+
+OP11 = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents
+), runs AS (
+    SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (
+    SELECT lang, sum(len(w)) AS n FROM runs GROUP BY lang
+), places AS (
+    SELECT lang, w, i, k FROM (SELECT lang, w, unnest(range(len(w))) AS i FROM runs WHERE len(w) > 0), range(1, 5) t(k) WHERE i + k <= len(w)
+), counts AS (
+    SELECT lang, w[i + 1 : i + k] AS t, count(*) AS f FROM places GROUP BY ALL
+), candidates AS (
+    SELECT lang, t, f AS a FROM counts WHERE len(t) > 1 AND f >= 30
+), cuts AS (
+    SELECT lang, t, a, unnest(range(1, len(t))) AS k FROM candidates
+), scored AS (
+    SELECT c.lang, c.t, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.t = c.t[1 : c.k] JOIN counts y ON y.lang = c.lang AND y.t = c.t[c.k + 1 :]
+), lowest AS (
+    SELECT lang, t, a, l, r, score FROM scored QUALIFY row_number() OVER (PARTITION BY lang, t ORDER BY score, k) = 1
+), inner_parts AS (
+    SELECT lang, t[i + 1 : i + s] AS t, a FROM candidates, range(2, 4) x(s), range(0, 3) y(i) WHERE s < len(t) AND i + s <= len(t)
+), longer AS (
+    SELECT lang, t, max(a) AS a FROM inner_parts GROUP BY ALL
+), shown AS (
+    SELECT w.lang, array_to_string(w.t, ' ') AS phrase, w.a, w.l, w.r, w.score
+    FROM lowest w LEFT JOIN longer g ON g.lang = w.lang AND g.t = w.t WHERE g.a IS NULL OR 100::HUGEINT * g.a < 80::HUGEINT * w.a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM shown
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+OP12 = f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, {_SOLID.format("coalesce(text, '')")} AS w FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(range(greatest(len(w) - 2, 1)), lambda i: array_to_string(w[i + 1 : i + 3], ' ')))) END AS s FROM split
+), nodes AS (
+    SELECT min(doc_id) AS node, s FROM shingled WHERE len(s) > 0 GROUP BY s
+), having_it AS (
+    SELECT node, len(s) AS n, unnest(s) AS g FROM nodes
+), links AS (
+    SELECT a.node AS a, b.node AS b FROM having_it a JOIN having_it b ON a.g = b.g AND a.node < b.node
+    GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(node, root) AS (
+    SELECT node, node FROM nodes UNION SELECT r.node, w.b FROM reach r JOIN ways w ON w.a = r.root
+), least AS (
+    SELECT node, min(root) AS root FROM reach GROUP BY node
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(l.root, d.doc_id) AS component_id
+FROM shingled d LEFT JOIN nodes n ON n.s = d.s LEFT JOIN least l USING (node)
+"""
+
+
+
+def _crc_table() -> str:
+    """The 256 remainders of crc32, by its rule, as a list."""
+
+    def remainder(c: int) -> int:
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        return c
+
+    return str([remainder(c) for c in range(256)])
+
+
+OP13 = rf"""
+WITH RECURSIVE crc AS (
+    SELECT {_crc_table()}::BIGINT[] AS t
+), found AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents
+), runs AS (
+    SELECT doc_id, run, count(*) AS times, hex(encode(doc_id || ':' || run)) AS x FROM found WHERE length(run) >= 5 GROUP BY ALL
+), hashed AS (
+    SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(x), 2), lambda i: ('0x' || x[i + 1 : i + 2])::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, crc
+), mangled AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, times FROM hashed
+), words AS (
+    SELECT word, sum(times)::BIGINT AS n FROM mangled WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), cut AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), pairs AS (
+    SELECT a.word AS word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM words a JOIN cut b ON a.word = b.d
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.d = b.word
+), near AS (
+    SELECT word, count(*) AS n_near, min({{less: -other_n, form: other}}) AS best FROM pairs GROUP BY word
+), forms AS (
+    SELECT w.word, w.n, coalesce(x.n_near, 0) AS n_near, CASE WHEN -x.best.less >= 2 * w.n THEN x.best.form END AS form, CASE WHEN -x.best.less >= 2 * w.n THEN -x.best.less END AS form_n
+    FROM words w LEFT JOIN near x USING (word)
+), ways(word, stop, form) AS (
+    SELECT word, word, form FROM forms UNION ALL SELECT w.word, f.word, f.form FROM ways w JOIN forms f ON f.word = w.form
+)
+SELECT f.word, f.form, y.stop AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n FROM forms f JOIN ways y ON y.word = f.word AND y.form IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": OP1, "op4_decontaminate": OP4}
+    return {"op1_license_scan": OP1, "op4_decontaminate": OP4, "op11_collocations": OP11, "op12_jaccard_join": OP12, "op13_spelling_variants": OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import byte_bpe, chat, decontaminate, fingerprints, langid, licenses, near_dedup, pii, sharding, toxicity
+from shopfloor.llm import byte_bpe, chat, collocations, decontaminate, fingerprints, jaccard, langid, licenses, near_dedup, pii, sharding, spelling, toxicity
 from shopfloor.session import stage
 
 
@@ -114,9 +114,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two to four words of each language."""
+    return collocations.mined(_table(spark, sf_dir, "documents"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document that links of 90 in 100 shared three-word shingles make."""
+    return jaccard.linked(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of five letters or more that occurs three times, with its form and root."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_license_scan, op2_pii, op3_toxicity, op4_decontaminate, op5_byte_bpe, op6_language_id,
-        op7_chat_format, op8_fingerprints, op9_near_dedup, op10_sharding,
+        op7_chat_format, op8_fingerprints, op9_near_dedup, op10_sharding, op11_collocations, op12_jaccard_join,
+        op13_spelling_variants,
     ]
     return {f.__name__: f for f in found}

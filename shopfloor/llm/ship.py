@@ -13,13 +13,17 @@ from pyspark.sql import types as T
 import shopfloor
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch: whole documents are far longer than the rows Spark's default is made for.
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the workers, once for each application."""
+    """Send this package's modules to the workers, once for each application; Arrow batches become small unless their size is set."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
     top = os.path.dirname(os.path.abspath(shopfloor.__file__))
     path = os.path.join(tempfile.mkdtemp(), "shopfloor_modules.zip")
     with zipfile.ZipFile(path, "w") as archive:
