@@ -22,7 +22,7 @@ def upsert_available(
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per_key(batch, keys, order)
-        upsert_partitions(table_path, newest, keys, partition_by, batch_id, log=f"{checkpoint}-upserts", order=order)
+        upsert_partitions(table_path, newest, keys, partition_by, batch_id, log=f"{checkpoint}-upserts", order=order, unique=True)
 
     query = (
         stream.writeStream.foreachBatch(one_batch)
