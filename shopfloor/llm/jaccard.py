@@ -8,8 +8,8 @@ with those of all others. The signature of a segment is a hash of the set's shin
 
 Where that leaves too much to compare, half as many segments do: if each is also indexed with any one of its
 shingles left out, an alike pair meets in one of them at least. Which of both a band gets is told by cost: the
-comparisons that its exact segments have left over, as measured, against the rows that one-deletion
-neighbourhoods would add.
+comparisons that its exact segments have left over, as measured, against the rows of the one-deletion
+neighbourhoods of the sets left over.
 
 Sets that meet at a signature are compared in two steps. First each with one set of the bucket, the one that
 shares most signatures with others; what is verified there joins classes. Then, in buckets that still hold
@@ -42,8 +42,12 @@ PERCENT = 90
 BITMAP_WORDS = 16
 #: Bits of the filter that spares most sets no one asks for; what passes is joined exactly.
 FILTER_BITS = 24
-#: Members of a bucket that one task holds of either side at a time.
-BLOCK = 2048
+#: Members of a bucket that one task holds of either side at a time, and comparisons it makes at a time.
+BLOCK, COMPARED = 2048, 1 << 16
+#: Sets that a task remembers, so as to send equal ones once.
+MET = 1 << 18
+#: Comparisons that cost as much as a row of an index.
+CHEAPER = 100
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,6 +64,11 @@ def band_starts(most: int, percent: int = PERCENT) -> np.ndarray:
     return np.array([*starts, starts[-1] * 100 // percent + 1], np.int64)
 
 
+def home_bands(counts: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The band of each size; 0 for none."""
+    return np.maximum(np.searchsorted(band_starts(int(counts.max(initial=0)), percent), counts, "right") - 1, 0)
+
+
 def sets_of(data: np.ndarray, offsets: np.ndarray, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
     """The different shingles (hashes) of each text of a slice, and how many each text has; a shorter text is one shingle."""
     data = words.LOWER[data]
@@ -104,13 +113,13 @@ def bitmaps(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def signatures(hashes: np.ndarray, counts: np.ndarray, near: frozenset[int] | None = None, percent: int = PERCENT) -> tuple[np.ndarray, ...]:
-    """(signature, number of the set, band, whether the band is the set's own) of the sets of a slice.
+    """(signature, number of the set) of the sets of a slice: for the band of a set, and as the smaller one for the next.
 
     With ``near``, only for bands in it, and by one-deletion neighbourhoods; else for all bands by exact
-    segments. Bands in which alike sets are equal have none.
+    segments. Bands in which alike sets are equal have none. The last eight bits of a signature are its band.
     """
     starts = band_starts(int(counts.max(initial=0)), percent)
-    home = np.maximum(np.searchsorted(starts, counts, "right") - 1, 0)
+    home = home_bands(counts, percent)
     row = np.repeat(np.arange(len(counts)), counts)
     mixed = words.mix(hashes)
     found = []
@@ -135,72 +144,99 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, near: frozenset[int] | No
         if near is None:
             empty = np.bincount(of[n == 0], minlength=len(counts))
             sent = (n > 0) | (empty[of] > 1)
-            found.append((sealed(total, n, name)[sent], of[sent], band[of[sent]], np.full(int(sent.sum()), up == 0)))
+            sig, of = sealed(total, n, name)[sent], of[sent]
         else:
             less = sealed(total[cell] - token, n[cell] - 1, name[cell])
-            found.append((np.concatenate([sealed(total, n, name), less]), np.concatenate([of, own]), band[np.concatenate([of, own])], np.full(n_cells + len(own), up == 0)))
+            sig, of = np.concatenate([sealed(total, n, name), less]), np.concatenate([of, own])
+        found.append((sig & ~np.uint64(255) | band[of].astype(np.uint64) & np.uint64(255), of))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _each_set(docs: DataFrame, text: str, schema: str, make, shingle_words: int) -> DataFrame:
-    """What ``make(part, hashes, counts)`` yields for each slice of ``docs``."""
+def _each_set(docs: DataFrame, text: str, schema, make, shingle_words: int) -> DataFrame:
+    """What ``make(part, hashes, counts, nodes, new)`` yields for each slice; ``new`` are the sets that the task has not met yet, about."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = np.zeros(0, np.uint64)
         for batch in batches:
             for part, data, offsets in words.slices(batch, text):
-                yield from make(part, *sets_of(data, offsets, shingle_words))
+                hashes, counts = sets_of(data, offsets, shingle_words)
+                nodes = digests(hashes, counts)
+                new = np.zeros(len(counts), bool)
+                new[np.unique(nodes, return_index=True)[1]] = True
+                new &= (counts > 0) & ~np.isin(nodes, met)
+                met = np.concatenate([met if len(met) < MET else met[:0], nodes[new]])
+                yield from make(part, hashes, counts, nodes, new)
 
     return mapped(docs, run, schema)
 
 
-def _signed(texts: DataFrame, shingle_words: int, percent: int, near: frozenset[int] | None = None) -> DataFrame:
-    """(``sig``, ``node``, ``n``, ``band``, ``own``) of all sets in ``_text``; of a set that occurs twice in a slice once."""
+def _listed(of: np.ndarray, values: np.ndarray, rows: int) -> pa.ListArray:
+    """Lists of the ``values`` of each row."""
+    order = np.argsort(of, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=rows))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[order].view(np.int64)))
+
+
+def _signed(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """(``_id``, ``node``, ``n``, ``sigs``) of every row of ``docs`` (``_id``, ``_text``); a task lists the signatures of equal sets about once."""
+    schema = T.StructType([docs.schema.fields[0], T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sigs", T.ArrayType(T.LongType()))])
+
+    def make(part, hashes, counts, nodes, new):
+        sig, of = signatures(hashes[np.repeat(new, counts)], np.where(new, counts, 0), None, percent)
+        columns = [part.column("_id"), pa.array(nodes.view(np.int64)), pa.array(counts.astype(np.int64)), _listed(of, sig, len(counts))]
+        yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return _each_set(docs, "_text", schema, make, shingle_words)
 
-    def make(part, hashes, counts):
-        nodes = digests(hashes, counts)
-        sig, of, band, own = signatures(hashes, counts, near, percent)
-        once = np.zeros(len(counts), bool)
-        once[np.unique(nodes, return_index=True)[1]] = True
-        pick = np.flatnonzero(once[of])
-        for at in range(0, len(pick), 200_000):
-            p = pick[at : at + 200_000]
-            columns = [sig[p].view(np.int64), nodes[of[p]].view(np.int64), counts[of[p]].astype(np.int32), band[p].astype(np.int32), own[p]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "node", "n", "band", "own"])
 
-    return _each_set(texts, "_text", "sig long, node long, n int, band int, own boolean", make, shingle_words)
+def _neighbourhoods(docs: DataFrame, nodes: DataFrame, bands: frozenset[int], shingle_words: int, percent: int) -> DataFrame:
+    """(``sig``, ``node``) of the one-deletion neighbourhoods of these sets in these bands."""
+    asked = _filter_of(nodes, "node")
 
+    def make(part, hashes, counts, own, new):
+        new = new & _passes(asked, own)
+        sig, of = signatures(hashes[np.repeat(new, counts)], np.where(new, counts, 0), bands, percent)
+        for at in range(0, len(sig), 200_000):
+            yield pa.RecordBatch.from_arrays([pa.array(sig[at : at + 200_000].view(np.int64)), pa.array(own[of[at : at + 200_000]].view(np.int64))], ["sig", "node"])
 
-def _filter_of(nodes: DataFrame) -> np.ndarray:
-    """A filter of fixed size (2 MB) that holds for all ``node`` of the frame; tasks join its words of 64 bits."""
-    low = F.col("node").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    bits = nodes.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, cast(node & 63 AS int))").alias("bit"))
+    return _each_set(docs, "_text", "sig long, node long", make, shingle_words).join(small(nodes), "node", "left_semi")
+
+
+def _bits_of(values: DataFrame, column: str) -> DataFrame:
+    """(``_word``, ``_bits``): a filter of fixed size that holds for all of ``column``; tasks join its words of 64 bits."""
+    low = F.col(column).bitwiseAND(F.lit(((1 << FILTER_BITS) - 1) << 8))
+    bits = values.select(F.shiftright(low, 14).alias("_word"), F.expr(f"shiftleft(1L, cast(shiftright({column}, 8) & 63 AS int))").alias("_bit"))
+    return bits.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+
+
+def _filter_of(values: DataFrame, column: str) -> np.ndarray:
     out = np.zeros((1 << FILTER_BITS) // 64, np.uint64)
-    for r in bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        out[r.word] = np.int64(r.bits).view(np.uint64)
+    for r in _bits_of(values, column).toLocalIterator():
+        out[r["_word"]] = np.int64(r["_bits"]).view(np.uint64)
     return out
 
 
-def _wanted_sets(texts: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFrame:
-    """(``node``, ``tokens``, ``bits``) of the sets whose ``node`` the frame ``nodes`` has, each once."""
-    packed = _filter_of(nodes)
+def _passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    low = values >> np.uint64(8) & np.uint64((1 << FILTER_BITS) - 1)
+    return (bits[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) != 0
+
 
-    def make(part, hashes, counts):
-        own = digests(hashes, counts)
-        low = own & np.uint64((1 << FILTER_BITS) - 1)
-        asked = (packed[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) != 0
-        once = np.zeros(len(counts), bool)
-        once[np.unique(own, return_index=True)[1]] = True
-        pick = np.flatnonzero(asked & once & (counts > 0))
+def _wanted_sets(docs: DataFrame, nodes: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """(``node``, ``n``, ``home``, ``tokens``, ``bits``) of the sets whose ``node`` the frame ``nodes`` has, each once."""
+    asked = _filter_of(nodes, "node")
+
+    def make(part, hashes, counts, own, new):
+        pick = np.flatnonzero(new & _passes(asked, own))
         if not len(pick):
             return
-        held = hashes[np.isin(np.repeat(np.arange(len(counts)), counts), pick)]
-        bits = bitmaps(held, counts[pick])
-        tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts[pick])]).astype(np.int32)), pa.array(held.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([pa.array(own[pick].view(np.int64)), tokens, pa.array([b.tobytes() for b in bits], pa.binary())], ["node", "tokens", "bits"])
+        held, n = hashes[np.isin(np.repeat(np.arange(len(counts)), counts), pick)], counts[pick]
+        columns = [own[pick].view(np.int64), n.astype(np.int64), home_bands(n, percent)]
+        tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(held.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), tokens, pa.array([b.tobytes() for b in bitmaps(held, n)], pa.binary())], ["node", "n", "home", "tokens", "bits"])
 
-    sent = _each_set(texts, "_text", "node long, tokens array<long>, bits binary", make, shingle_words)
-    # Equal sets of several slices: each task sends one of them.
-    return sent.join(small(nodes), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
+    sent = _each_set(docs, "_text", "node long, n long, home long, tokens array<long>, bits binary", make, shingle_words)
+    # Equal sets of several tasks: one of them stays.
+    return sent.join(small(nodes), "node", "left_semi").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -216,9 +252,24 @@ def _alike_sizes(a: str, b: str, percent: int):
 
 
 def _open_members(signed: DataFrame) -> DataFrame:
-    """The rows of ``signed`` whose signature several sets share, one of them in its own band."""
-    shared = signed.groupBy("sig").agg(F.min("node").alias("_least"), F.max("node").alias("_most"), F.bool_or("own").alias("_own"))
-    return signed.join(small(shared.where("_least <> _most AND _own").select("sig")), "sig", "left_semi").distinct()
+    """The rows (``sig``, ``node``) whose signature several sets share, each once.
+
+    Most signatures are of one set. So the shared ones are found by a sum, and a filter of them spares the
+    other rows the shuffle.
+    """
+    shared = signed.groupBy("sig").agg(F.min("node").alias("_least"), F.max("node").alias("_most")).where("_least <> _most").select("sig")
+    shared = stage(shared, "jaccard-shared")
+    # At most 2^18 rows, whatever the number of signatures.
+    maybe = F.broadcast(_bits_of(shared, "sig"))
+    low = F.col("sig").bitwiseAND(F.lit(((1 << FILTER_BITS) - 1) << 8))
+    kept = signed.join(maybe, (F.shiftright(low, 14) == F.col("_word")) & (F.expr("shiftright(_bits, cast(shiftright(sig, 8) & 63 AS int)) & 1L") != 0)).select("sig", "node")
+    return kept.join(small(shared), "sig", "left_semi").distinct()
+
+
+def _described(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members with their ``n``, and ``own``: whether their bucket is of their own band. Buckets of the band below alone are left out."""
+    told = members.join(small(sets.select("node", "n", "home")), "node").withColumn("band", F.col("sig").bitwiseAND(F.lit(255)))
+    return told.withColumn("own", F.col("home").bitwiseAND(F.lit(255)) == F.col("band")).drop("home")
 
 
 def _leaders(members: DataFrame, percent: int) -> DataFrame:
@@ -227,15 +278,15 @@ def _leaders(members: DataFrame, percent: int) -> DataFrame:
     degree = members.join(sizes, "sig").groupBy("node").agg(F.sum("_size").alias("_degree"))
     ranked = members.join(degree, "node")
     leader = ranked.groupBy("sig").agg(F.max(F.struct("own", "_degree", "node", "n")).alias("_lead"))
-    pairs = members.join(leader, "sig").where((F.col("node") != F.col("_lead.node")) & _alike_sizes("n", "_lead.n", percent))
+    pairs = members.join(leader, "sig").where(F.col("_lead.own") & (F.col("node") != F.col("_lead.node")) & _alike_sizes("n", "_lead.n", percent))
     return pairs.select(F.least("node", "_lead.node").alias("a"), F.greatest("node", "_lead.node").alias("b")).distinct()
 
 
 def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of buckets that hold several classes, with their ``root``, and what the bucket has of its largest class (``_main``) and besides (``_rest``)."""
     known = members.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    by_root = known.groupBy("sig", "root").agg(F.count("*").alias("_n"))
-    mixed = by_root.groupBy("sig").agg(F.max(F.struct("_n", "root")).alias("_top"), F.sum("_n").alias("_all"), F.count("*").alias("_roots")).where("_roots > 1")
+    by_root = known.groupBy("sig", "root").agg(F.count("*").alias("_n"), F.bool_or("own").alias("_own"))
+    mixed = by_root.groupBy("sig").agg(F.max(F.struct("_n", "root")).alias("_top"), F.sum("_n").alias("_all"), F.count("*").alias("_roots"), F.bool_or("_own").alias("_own")).where("_roots > 1 AND _own")
     told = mixed.select("sig", F.col("_top.root").alias("_main_root"), F.col("_top._n").alias("_main"), (F.col("_all") - F.col("_top._n")).alias("_rest"))
     return known.join(told, "sig")
 
@@ -258,70 +309,75 @@ def _across(unsettled: DataFrame, sets: DataFrame, percent: int, block: int) ->
     of_rest = rest.select("sig", F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("i"), (F.col("_mains") + F.col("_block")).alias("j"), F.lit(False).alias("asks"), "node", "n", "root", "own")
     rows = asks.unionByName(of_main).unionByName(of_rest).join(sets.select("node", "bits"), "node")
 
-    def compare(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in groups:
-            ask, other = group[group["asks"]], group[~group["asks"]]
-            if not len(ask) or not len(other):
-                continue
-            bits = lambda f: np.frombuffer(b"".join(f["bits"]), np.uint64).reshape(-1, BITMAP_WORDS)
-            left, right = bits(ask), bits(other)
-            columns = {c: other[c].to_numpy() for c in ("node", "n", "root", "own")}
-            found = []
-            for k, (node, n, root, own) in enumerate(zip(ask["node"], ask["n"], ask["root"], ask["own"])):
-                least, most = np.minimum(columns["n"], n).astype(np.int64), np.maximum(columns["n"], n).astype(np.int64)
-                maybe = np.flatnonzero((columns["root"] != root) & (columns["own"] | own) & (100 * least >= percent * most))
-                if len(maybe):
-                    apart = np.bitwise_count(right[maybe] ^ left[k]).sum(axis=1, dtype=np.int64)
-                    maybe = maybe[apart <= (n + columns["n"][maybe].astype(np.int64)) * (100 - percent) // (100 + percent)]
-                    found.append(np.stack([np.minimum(columns["node"][maybe], node), np.maximum(columns["node"][maybe], node)], 1))
-            if found:
-                a, b = np.unique(np.concatenate(found), axis=0).T
-                yield pd.DataFrame({"a": a, "b": b})
+    def compared(rows: pd.DataFrame) -> Iterator[pa.RecordBatch]:
+        """Pairs of whole groups: each asking row with all others of its group, some comparisons at a time."""
+        group = np.cumsum(np.append(True, (np.diff(rows[["sig", "i", "j"]].to_numpy(), axis=0) != 0).any(axis=1))) - 1
+        asks = rows["asks"].to_numpy()
+        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(-1, BITMAP_WORDS)
+        node, n, root, own = (rows[c].to_numpy() for c in ("node", "n", "root", "own"))
+        ask, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+        first, last = (np.searchsorted(group[other], group[ask], side) for side in ("left", "right"))
+        before = np.cumsum(last - first)
+        found, at = [], 0
+        while at < len(ask):
+            to = max(at + 1, int(np.searchsorted(before, (before[at - 1] if at else 0) + COMPARED, "right")))
+            each = (last - first)[at:to]
+            a = np.repeat(ask[at:to], each)
+            b = other[np.repeat(first[at:to], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)]
+            least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+            maybe = (root[a] != root[b]) & (own[a] | own[b]) & (100 * least >= percent * most)
+            a, b = a[maybe], b[maybe]
+            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            near = apart <= (n[a] + n[b]) * (100 - percent) // (100 + percent)
+            found.append(np.stack([np.minimum(node[a[near]], node[b[near]]), np.maximum(node[a[near]], node[b[near]])], 1))
+            at = to
+        if found:
+            a, b = np.unique(np.concatenate(found), axis=0).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     def of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Groups are runs of sorted rows: the rows of a run that a batch leaves open wait for the next."""
-        held: list[pd.DataFrame] = []
+        """Groups are runs of sorted rows: the last run of a batch waits for the next batch."""
+        held = []
         for batch in batches:
             frame = batch.to_pandas()
             key = frame[["sig", "i", "j"]].to_numpy()
-            cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            parts = [frame.iloc[a:b] for a, b in zip([0, *cut], [*cut, len(frame)])]
-            if held and len(parts) and (held[-1][["sig", "i", "j"]].iloc[0].to_numpy() != key[0]).any():
-                yield from sent([pd.concat(held)])
+            if not len(frame):
+                continue
+            if held and (held[-1][["sig", "i", "j"]].to_numpy()[-1] != key[0]).any():
+                yield from compared(pd.concat(held))
+                held = []
+            cut = int((np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).max(initial=0))
+            if cut:
+                yield from compared(pd.concat([*held, frame.iloc[:cut]]))
                 held = []
-            held += parts[:1]
-            if len(parts) > 1:
-                yield from sent([pd.concat(held), *parts[1:-1]])
-                held = parts[-1:]
+            held.append(frame.iloc[cut:])
         if held:
-            yield from sent([pd.concat(held)])
-
-    def sent(groups: list[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
-        for out in compare(iter(groups)):
-            yield pa.RecordBatch.from_pandas(out, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]), preserve_index=False)
+            yield from compared(pd.concat(held))
 
     ordered = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return mapped(ordered.select("sig", "i", "j", "asks", "node", "n", "root", "own", "bits"), of_runs, "a long, b long").distinct()
 
 
-def classes(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """(``node``, ``root``) of all sets in ``_text`` that are linked with another: equal ``root``, one class."""
-    signed = stage(_signed(texts, shingle_words, percent), "jaccard-signed")
-    members = stage(_open_members(signed), "jaccard-members")
-    asked = stage(members.select("node").distinct(), "jaccard-asked")
-    sets = stage(_wanted_sets(texts, asked, shingle_words), "jaccard-sets")
+def classes(docs: DataFrame, signed: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """(``node``, ``root``) of all sets of ``docs`` that are linked with another: equal ``root``, one class."""
+    open_ = stage(_open_members(signed.select(F.explode("sigs").alias("sig"), "node")), "jaccard-open")
+    asked = stage(open_.select("node").distinct(), "jaccard-asked")
+    sets = stage(_wanted_sets(docs, asked, shingle_words, percent), "jaccard-sets")
+    members = stage(_described(open_, sets), "jaccard-members")
     links = stage(_verified(_leaders(members, percent), sets, percent), "jaccard-links")
     roots = stage(components(links), "jaccard-roots")
     unsettled = stage(_unsettled(members, roots), "jaccard-unsettled")
 
-    # By band: comparisons left over, against the rows of one-deletion neighbourhoods.
-    left = unsettled.where(F.col("root") != F.col("_main_root")).groupBy("band").agg(F.sum((F.col("_main") + F.col("_rest")).cast("double")).alias("left"))
-    rows = signed.select("band", "node", "n").distinct().groupBy("band").agg(F.sum(F.col("n").cast("double")).alias("rows"))
-    costly = frozenset(r.band for r in left.join(rows, "band").where("left > rows").select("band").collect())
+    # By band: the comparisons left over, against the rows of neighbourhoods of the sets left over.
+    left = unsettled.groupBy("band").agg(F.sum(F.when(F.col("root") != F.col("_main_root"), F.col("_main") + F.col("_rest")).cast("double")).alias("left"))
+    rows = unsettled.groupBy("band", "node").agg(F.max("n").alias("n")).groupBy("band").agg(F.sum(F.col("n").cast("double")).alias("rows"))
+    costly = frozenset(r.band for r in left.join(rows, "band").where(F.col("left") > CHEAPER * F.col("rows")).select("band").collect())
     if costly:
-        again = stage(_open_members(_signed(texts, shingle_words, percent, costly)), "jaccard-members")
-        # Sets that only these neighbourhoods bring together share no exact segment and so no link.
-        unsettled = unsettled.where(~F.col("band").isin(*costly)).unionByName(_unsettled(again.join(small(asked), "node", "left_semi"), roots))
+        # A link that is left over joins two sets that are left over in one band.
+        again = stage(unsettled.where(F.col("band").isin(*costly)).select("node").distinct(), "jaccard-again")
+        near = stage(_neighbourhoods(docs, again, costly, shingle_words, percent), "jaccard-near")
+        members = stage(_described(_open_members(near), sets), "jaccard-members")
+        unsettled = unsettled.where(~F.col("band").isin(*costly)).unionByName(_unsettled(members, roots))
     pairs = _across(unsettled, sets, percent, block)
     more = stage(_verified(pairs, sets, percent), "jaccard-links")
     return components(links.unionByName(more))
@@ -336,15 +392,10 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_
     is its own class. Repeated rows stay apart, in one class. No rows give no rows. Shingles and whole sets are
     told apart by hashes of 64 bits. Columns other than the id and the text are not read.
     """
-    texts = docs.select(F.col(f"`{text}`").alias("_text"))
     own = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    schema = T.StructType([own.schema.fields[0], T.StructField("node", T.LongType()), T.StructField("n", T.LongType())])
-
-    def make(part, hashes, counts):
-        yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(digests(hashes, counts).view(np.int64)), pa.array(counts.astype(np.int64))], ["_id", "node", "n"])
-
-    rows = stage(_each_set(own, "_text", schema, make, shingle_words), "jaccard-rows")
-    roots = stage(classes(texts, shingle_words, percent, block), "jaccard-classes")
+    signed = stage(_signed(own, shingle_words, percent), "jaccard-signed")
+    rows = signed.select("_id", "node", "n")
+    roots = stage(classes(own, signed, shingle_words, percent, block), "jaccard-classes")
     by_node = rows.where("n > 0").groupBy("node").agg(F.min("_id").alias("_least"))
     by_node = by_node.join(small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = by_node.groupBy("root").agg(F.min("_least").alias("_first"))

@@ -177,22 +177,23 @@ def test_one_deletion_neighbourhoods_find_all_links(spark, docs):
             if 100 * len(np.intersect1d(a, b)) < 90 * len(np.union1d(a, b)):
                 continue
             for near in (None, frozenset(range(200))):
-                sig, of, _, own = jaccard.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), near)
+                sig, of = jaccard.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), near)
                 shared = set(sig[of == 0].tolist()) & set(sig[of == 1].tolist())
                 assert shared or np.array_equal(a, b), (size, near)
 
 
 def test_costly_bands_get_neighbourhoods_and_the_same_links(spark, monkeypatch):
-    """A cloud of texts that share most of their segments: dear enough to be indexed anew."""
+    """A cloud of texts that share most of their segments, with comparisons priced so that it is indexed anew."""
     chance = random.Random(12)
     base = [f"w{k}" for k in range(60)]
-    rows = [(k, " ".join(_edits(chance, base, 2))) for k in range(300)]
+    rows = [(k, " ".join(_edits(chance, base, 1 + k % 2))) for k in range(200)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     asked = []
-    plainly = jaccard._signed
-    monkeypatch.setattr(jaccard, "_signed", lambda t, s, p, near=None: asked.append(near) or plainly(t, s, p, near))
+    plainly = jaccard._neighbourhoods
+    monkeypatch.setattr(jaccard, "CHEAPER", 0.01)
+    monkeypatch.setattr(jaccard, "_neighbourhoods", lambda *a: asked.append(a[2]) or plainly(*a))
     assert found(jaccard.linked(frame)) == joined(rows)
-    assert any(asked)
+    assert asked and asked[0]
 
 
 def test_join_of_odd_rows(odd, none, docs):
