@@ -52,8 +52,12 @@ class Plant:
         )
 
     def runs(self) -> DataFrame:
+        return self._runs_of(self.table("lineitem"))
+
+    def _runs_of(self, items: DataFrame, *more: str) -> DataFrame:
         made = F.floor(F.col("l_extendedprice") / 100)
-        return self.table("lineitem").select(
+        return items.select(
+            *more,
             F.col("l_shipdate").cast("date").alias("run_date"),
             F.col("l_suppkey").alias("machine_id"),
             F.when(F.col("l_orderkey") % 25 != 0, F.col("l_partkey")).alias("product_id"),
@@ -71,6 +75,13 @@ class Plant:
             (made - F.floor(made * F.col("l_discount"))).cast("bigint").alias("good_units"),
         )
 
+    def keyed_runs(self) -> DataFrame:
+        """The gated runs with ``run_id``, ``number`` (of the order they belong to) and their month."""
+        keyed = self.table("lineitem").select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("run_id"), F.col("l_orderkey").alias("number"), "*"
+        )
+        return self._runs_of(keyed, "run_id", "number")
+
     def silver_runs(self) -> DataFrame:
         return accepted(self.runs(), RUN_GATE)
 

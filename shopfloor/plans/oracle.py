@@ -380,6 +380,31 @@ ORACLE: dict[str, str] = {
                                CAST(CASE WHEN o_orderkey % 17 <> 0
                                          THEN year(o_orderdate) + CASE WHEN changed AND o_orderkey % 5 = 0 THEN 1 ELSE 0 END END AS INT) AS o_year
                         FROM (SELECT *, o_orderkey % 3 = 0 OR o_orderkey % 10 = 9 AS changed FROM orders)""",
+    "q_gold_incremental": sql(
+        "products machines",
+        f"""SELECT * FROM (WITH final AS (
+                SELECT CASE WHEN l_orderkey % 14 = 0 THEN CAST(l_shipdate AS DATE) + 40 ELSE CAST(l_shipdate AS DATE) END AS run_date,
+                       l_suppkey AS machine_id, CASE WHEN l_orderkey % 25 = 0 THEN NULL ELSE l_partkey END AS product_id,
+                       CASE l_linenumber % 3 WHEN 0 THEN 'morning' WHEN 1 THEN 'afternoon' ELSE 'night' END AS shift,
+                       CAST(l_quantity AS BIGINT) * 5 + CASE WHEN l_orderkey % 7 = 0 THEN 15 ELSE 0 END AS downtime_min,
+                       CASE WHEN l_orderkey % 33 = 0 THEN -1 WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST(floor(l_extendedprice / 100) AS BIGINT) END AS total_units,
+                       CAST(floor(l_extendedprice / 100) AS BIGINT) - CAST(floor(floor(l_extendedprice / 100) * l_discount) AS BIGINT) AS good_units
+                FROM lineitem
+            ), parts AS (
+                SELECT f.*, (480 - downtime_min) / 480e0 AS availability, good_units * 1e0 / total_units AS quality,
+                       least(p.ideal_cycle_time_sec * total_units / nullif((480 - downtime_min) * 60e0, 0), 1e0) AS performance, total_units - good_units AS scrap
+                FROM final f LEFT JOIN products p USING (product_id)
+                WHERE machine_id IS NOT NULL AND product_id IS NOT NULL AND total_units > 0 AND good_units >= 0 AND good_units <= total_units
+            ), oee AS (
+                SELECT p.*, m.line, availability * performance * quality AS oee FROM parts p LEFT JOIN machines m USING (machine_id)
+            )
+            SELECT 'machine' AS mart, machine_id, CAST(NULL AS DATE) AS run_date, any_value(line) AS line, CAST(NULL AS VARCHAR) AS shift, {r('avg(oee)')} AS oee,
+                   {r('avg(availability)')} AS avg_availability, CAST(sum(downtime_min) AS BIGINT) AS downtime_min, {r('sum(scrap) * 1e0 / sum(total_units)')} AS scrap_rate
+            FROM oee GROUP BY machine_id
+            UNION ALL SELECT 'line', NULL, NULL, line, NULL, {r('avg(oee)')}, NULL, CAST(sum(downtime_min) AS BIGINT), NULL FROM oee GROUP BY line
+            UNION ALL SELECT 'day', machine_id, run_date, NULL, NULL, {r('avg(oee)')}, NULL, CAST(sum(downtime_min) AS BIGINT), NULL FROM oee GROUP BY machine_id, run_date
+            UNION ALL SELECT 'shift', NULL, NULL, NULL, shift, {r('avg(oee)')}, {r('avg(availability)')}, NULL, NULL FROM oee GROUP BY shift)""",
+    ),
     # files, catalog, streams
     "q_bronze_json_roundtrip": sql("runs", "SELECT * FROM runs"),
     "q_bronze_drift": """SELECT CASE WHEN event_id % 7 <> 0 THEN event_id END AS event_id,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from shopfloor.functions.rounding import steady
 from shopfloor.operators import gates, health, history, learning, losses, marts, merge, ordering, telemetry
 from shopfloor.plans.bindings import LEARNING_FEATURES, LEARNING_KEYS, Plant
 from shopfloor.plans.oracle import ORACLE
+from shopfloor.plans.refresh import IncrementalGold
 from shopfloor.plans.warehouse import Warehouse, merge_tiers
 from shopfloor.session import stage, work_folder
 from shopfloor.sources import catalog, files
@@ -333,6 +335,27 @@ def q_fact_upsert(p: Plant) -> DataFrame:
     return p.spark.read.schema(orders.schema).parquet(f"{base}/orders")
 
 
+@query
+def q_gold_incremental(p: Plant) -> DataFrame:
+    """Marts kept up to date: most runs, then late ones, then corrections that move some runs to another month."""
+    gold = IncrementalGold(p.spark, work_folder(p.spark, "gold"), order=("revision",), period="month")
+    runs = p.keyed_runs().withColumn("revision", F.lit(1))
+    corrected = runs.filter("number % 7 = 0").withColumns(
+        {"revision": F.lit(2), "downtime_min": F.col("downtime_min") + 15, "run_date": F.expr("CASE WHEN number % 2 = 0 THEN date_add(run_date, 40) ELSE run_date END")}
+    )
+    for batch_id, batch in enumerate((runs.filter("number % 10 <> 9"), runs.filter("number % 10 = 9"), corrected)):
+        oee = marts.run_oee(gates.accepted(batch, gates.RUN_GATE), p.products())
+        gold.take(oee.withColumn("month", F.date_format("run_date", "yyyy-MM")), batch_id)
+    made = gold.marts(p.machines(), steady)
+    machine = made["gold_oee_by_machine"].select(F.lit("machine").alias("mart"), "machine_id", F.lit(None).cast("date").alias("run_date"), "line", F.lit(None).cast("string").alias("shift"), F.col("avg_oee").alias("oee"), "avg_availability", F.col("total_downtime_min").alias("downtime_min"), "scrap_rate")
+    parts = [
+        made["gold_oee_by_line"].select(F.lit("line").alias("mart"), "line", F.col("avg_oee").alias("oee"), F.col("total_downtime_min").alias("downtime_min")),
+        made["gold_daily_oee"].select(F.lit("day").alias("mart"), "machine_id", "run_date", F.col("daily_oee").alias("oee"), "downtime_min"),
+        made["gold_shift_performance"].select(F.lit("shift").alias("mart"), "shift", "oee", F.col("availability").alias("avg_availability")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, machine)
+
+
 # --- files, catalog, streams -------------------------------------------------
 
 
