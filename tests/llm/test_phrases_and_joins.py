@@ -86,13 +86,14 @@ def test_a_double_array_holds_just_its_paths():
     def accepted(p):
         state = 0
         for word in p:
-            at = int(np.searchsorted(tries.symbols, np.uint64(word)))
-            if at == len(tries.symbols) or tries.symbols[at] != word:
+            number = int(np.searchsorted(tries.symbols, np.uint64(word)))
+            if number == len(tries.symbols) or tries.symbols[number] != word:
                 return -1
-            to = int(tries.base[state]) + at + 1
-            if tries.check[to] != state:
-                return -1
-            state = to
+            for place in range(tries.digits - 1, -1, -1):
+                to = int(tries.base[state]) + number // collocations.DIGIT**place % collocations.DIGIT
+                if tries.check[to] != state:
+                    return -1
+                state = to
         return int(tries.accepts[state])
 
     assert [accepted(p) for p in paths] == list(range(len(paths)))
