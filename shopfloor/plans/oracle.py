@@ -380,6 +380,40 @@ ORACLE: dict[str, str] = {
                                CAST(CASE WHEN o_orderkey % 17 <> 0
                                          THEN year(o_orderdate) + CASE WHEN changed AND o_orderkey % 5 = 0 THEN 1 ELSE 0 END END AS INT) AS o_year
                         FROM (SELECT *, o_orderkey % 3 = 0 OR o_orderkey % 10 = 9 AS changed FROM orders)""",
+    "q_scd2_backdated": sql(
+        "snap0 snap1",
+        """SELECT machine_id, machine_name, line, machine_type, maintenance_tier, day AS valid_from, valid_to, valid_to IS NULL AS is_current
+           FROM (SELECT *, lead(day) OVER (PARTITION BY machine_id ORDER BY day) AS valid_to
+                 FROM (SELECT *, row_number() OVER w AS place, lag(line) OVER w AS old_line, lag(maintenance_tier) OVER w AS old_tier
+                       FROM (SELECT *, DATE '2024-01-01' AS day FROM snap0 UNION ALL SELECT *, DATE '2024-02-01' FROM snap1
+                             UNION ALL SELECT *, DATE '2024-03-01' FROM snap0
+                             UNION ALL SELECT machine_id, machine_name, line, machine_type, CASE WHEN machine_id % 6 = 0 THEN 'gold' ELSE maintenance_tier END,
+                                              DATE '2024-04-01' FROM snap1 WHERE machine_id % 3 = 0)
+                       WINDOW w AS (PARTITION BY machine_id ORDER BY day))
+                 WHERE place = 1 OR line IS DISTINCT FROM old_line OR maintenance_tier IS DISTINCT FROM old_tier)""",
+    ),
+    "q_scd2_as_of_many": """SELECT f.machine_id, s.status, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, count(*) AS items
+                            FROM (SELECT l_suppkey % 6 AS machine_id, CAST(l_shipdate AS DATE) AS day, l_quantity FROM lineitem) f
+                            ASOF LEFT JOIN (SELECT o_custkey % 5 AS machine_id, CAST(o_orderdate AS DATE) AS day, arg_min(o_orderpriority, o_orderkey) AS status
+                                            FROM orders GROUP BY ALL) s ON f.machine_id = s.machine_id AND f.day >= s.day
+                            GROUP BY ALL""",
+    "q_stream_gate": sql(
+        "runs",
+        """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS run_id, l_orderkey AS number, g.*
+           FROM (SELECT *, CAST(l_shipdate AS DATE) AS run_date FROM lineitem) i, LATERAL (
+               SELECT i.run_date, l_suppkey AS machine_id, CASE WHEN l_orderkey % 25 = 0 THEN NULL ELSE l_partkey END AS product_id,
+                      CASE l_linenumber % 3 WHEN 0 THEN 'morning' WHEN 1 THEN 'afternoon' ELSE 'night' END AS shift,
+                      CAST(480 AS BIGINT) AS planned_production_min, CAST(l_quantity AS BIGINT) * 5 AS downtime_min,
+                      CASE WHEN l_orderkey % 33 = 0 THEN -1 WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST(floor(l_extendedprice / 100) AS BIGINT) END AS total_units,
+                      CAST(floor(l_extendedprice / 100) AS BIGINT) - CAST(floor(floor(l_extendedprice / 100) * l_discount) AS BIGINT) AS good_units,
+                      coalesce(l_suppkey IS NOT NULL AND l_orderkey % 25 <> 0 AND l_partkey IS NOT NULL AND total_units > 0 AND good_units >= 0
+                               AND good_units <= total_units, false) AS is_valid) g""",
+    ),
+    "q_stream_gate_audit": """SELECT CAST(CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE 1 END AS BIGINT) AS batch, count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS quarantine
+        FROM (SELECT l_orderkey, coalesce(l_suppkey IS NOT NULL AND l_orderkey % 25 <> 0 AND l_partkey IS NOT NULL AND total > 0 AND good >= 0 AND good <= total, false) AS ok
+              FROM (SELECT *, CASE WHEN l_orderkey % 33 = 0 THEN -1 WHEN l_orderkey % 101 = 0 THEN NULL ELSE floor(l_extendedprice / 100) END AS total,
+                           floor(l_extendedprice / 100) - floor(floor(l_extendedprice / 100) * l_discount) AS good FROM lineitem))
+        GROUP BY 1""",
     "q_gold_incremental": sql(
         "products machines",
         f"""SELECT * FROM (WITH final AS (

@@ -21,6 +21,7 @@ from shopfloor.plans.warehouse import Warehouse, merge_tiers
 from shopfloor.session import stage, work_folder
 from shopfloor.sources import catalog, files
 from shopfloor.sources.versioned import VersionedTable
+from shopfloor.streaming.gates import GatedTable, gate_available
 from shopfloor.streaming.ingest import ingest_available, landed_json
 from shopfloor.streaming.upsert import upsert_available
 
@@ -317,6 +318,28 @@ def q_scd2_as_of(p: Plant) -> DataFrame:
     )
 
 
+@query
+def q_scd2_backdated(p: Plant) -> DataFrame:
+    """Four snapshots that arrive out of order; one confirms what an earlier one changed back."""
+    first, second = p.snapshot(0), p.snapshot(1)
+    golden = second.filter("machine_id % 3 = 0").withColumn("maintenance_tier", F.expr("CASE WHEN machine_id % 6 = 0 THEN 'gold' ELSE maintenance_tier END"))
+    kept = history.ObservedHistory(p.spark, work_folder(p.spark, "scd2-backdated"), StructType(first.schema.fields))
+    for snapshot, day in ((first, "2024-03-01"), (first, "2024-01-01"), (golden, "2024-04-01"), (second, "2024-02-01")):
+        kept.add(snapshot, day)
+    return kept.dimension()
+
+
+@query
+def q_scd2_as_of_many(p: Plant) -> DataFrame:
+    """Quantity shipped by the status a machine had on the day: five machines, each with a version for every day of orders."""
+    orders = p.table("orders").select((F.col("o_custkey") % 5).alias("machine_id"), F.col("o_orderdate").cast("date").alias("observed"), "o_orderkey", "o_orderpriority")
+    statuses = orders.groupBy("machine_id", "observed").agg(F.min_by("o_orderpriority", "o_orderkey").alias("status"))
+    dimension = history.versions_of(statuses, tracked=["status"])
+    shipped = p.table("lineitem").select((F.col("l_suppkey") % 6).alias("machine_id"), F.col("l_shipdate").cast("date").alias("day"), "l_quantity")
+    placed = history.as_of_join(shipped, dimension, "day", ["status"])
+    return placed.groupBy("machine_id", "status").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"), F.count("*").alias("items"))
+
+
 @query
 def q_fact_upsert(p: Plant) -> DataFrame:
     """Three batches: some orders have no year, a part moves to another year, and a part comes late with an old revision."""
@@ -482,6 +505,31 @@ def q_stream_bronze(p: Plant) -> DataFrame:
     return p.spark.read.parquet(f"{base}/table").select(*events.columns)
 
 
+def _gated_stream(p: Plant) -> GatedTable:
+    """Runs that land in two parts, each a micro-batch; the second is lost before its counts and comes again."""
+    base = work_folder(p.spark, "stream-gate")
+    runs = p.keyed_runs()
+    table = GatedTable(p.spark, f"{base}/runs", StructType(runs.schema.fields))
+    for landing in ("number % 3 = 0", "number % 3 <> 0"):
+        runs.filter(landing).write.mode("append").parquet(f"{base}/landing")
+        stream = p.spark.readStream.schema(runs.schema).parquet(f"{base}/landing")
+        gate_available(stream, table, gates.RUN_GATE, f"{base}/checkpoint")
+    files.delete_path(p.spark, f"{base}/runs/counts/batch=1")
+    for _ in range(2):
+        table.write(runs.filter("number % 3 <> 0"), gates.RUN_GATE, 1)
+    return table
+
+
+@query
+def q_stream_gate(p: Plant) -> DataFrame:
+    return _gated_stream(p).read()
+
+
+@query
+def q_stream_gate_audit(p: Plant) -> DataFrame:
+    return _gated_stream(p).counts()
+
+
 @query
 def q_stream_upsert(p: Plant) -> DataFrame:
     """All orders land at revision 1, a part of them again at revision 3, and another part late at revision 2."""
