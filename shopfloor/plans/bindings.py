@@ -14,8 +14,8 @@ from shopfloor.operators.marts import run_oee
 from shopfloor.operators.telemetry import clean_readings
 
 
-# Schemas of the tables opened so far, by path; reading them from the files takes a job each.
-_SCHEMAS: dict[str, StructType] = {}
+# Schemas of the tables opened so far, by path and the time it was last written; reading them takes a job each.
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
 
 
 class Plant:
@@ -23,11 +23,15 @@ class Plant:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+
     def table(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        status = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place)
+        known = (path, status.getModificationTime())
+        if known not in _SCHEMAS:
+            _SCHEMAS[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[known]).parquet(path)
 
     def machines(self) -> DataFrame:
         placed = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 
 from shopfloor import schemas
 from shopfloor.functions.cleaning import parsed_timestamp, standard_code
-from shopfloor.operators import gates, health, history, marts
+from shopfloor.operators import gates, health, history, marts, merge
 from shopfloor.operators.telemetry import clean_readings
+from shopfloor.plans.refresh import IncrementalGold
 from shopfloor.sources import files
 from shopfloor.sources.versioned import VersionedTable
+from shopfloor.streaming.gates import GatedTable, gate_available
 from shopfloor.streaming.ingest import ingest_available, landed_json
 
 
@@ -83,15 +86,20 @@ def bronze_incremental(spark: SparkSession, landing: str, lake: Lake) -> None:
         ingest_available(stream, lake.path("bronze", name), lake.path("_checkpoints", name), lake.fmt)
 
 
+def _clean_quality(raw: DataFrame) -> DataFrame:
+    return raw.withColumns({"inspected_ts": parsed_timestamp(F.col("inspected_ts")), "result": standard_code(F.col("result"))})
+
+
+# How each fact is cleaned, and the gate it passes.
+GATED: dict[str, tuple[Callable[[DataFrame], DataFrame], gates.Gate]] = {
+    "mes_runs": (lambda raw: raw, gates.RUN_GATE),
+    "sensors": (clean_readings, gates.SENSOR_GATE),
+    "quality": (_clean_quality, gates.QUALITY_GATE),
+}
+
+
 def _gated(spark: SparkSession, lake: Lake) -> dict[str, tuple[DataFrame, gates.Gate]]:
-    quality = lake.read(spark, "bronze", "quality").withColumns(
-        {"inspected_ts": parsed_timestamp(F.col("inspected_ts")), "result": standard_code(F.col("result"))}
-    )
-    return {
-        "mes_runs": (lake.read(spark, "bronze", "mes_runs"), gates.RUN_GATE),
-        "sensors": (clean_readings(lake.read(spark, "bronze", "sensors")), gates.SENSOR_GATE),
-        "quality": (quality, gates.QUALITY_GATE),
-    }
+    return {name: (clean(lake.read(spark, "bronze", name)), gate) for name, (clean, gate) in GATED.items()}
 
 
 def silver(spark: SparkSession, lake: Lake) -> dict[str, dict[str, int]]:
@@ -108,6 +116,50 @@ def silver_table(spark: SparkSession, lake: Lake, name: str, quarantine: bool =
     return gates.read_half(spark, lake.path("silver", name), df.schema, not quarantine, lake.fmt)
 
 
+def gated_table(spark: SparkSession, lake: Lake, name: str) -> GatedTable:
+    """A fact's silver table as ``refresh`` keeps it: by batch and half."""
+    clean, _ = GATED[name]
+    return GatedTable(spark, lake.path("silver", f"{name}_gated"), clean(lake.read(spark, "bronze", name)).schema)
+
+
+def silver_incremental(spark: SparkSession, lake: Lake) -> dict[str, dict[str, int]]:
+    """Gate what ``bronze_incremental`` has added since the last call; returns the counts of all batches so far."""
+    counts = {}
+    for name, (clean, gate) in GATED.items():
+        raw = lake.read(spark, "bronze", name)
+        stream = spark.readStream.format(lake.fmt).schema(raw.schema).load(lake.path("bronze", name))
+        table = gated_table(spark, lake, name)
+        gate_available(stream, table, gate, lake.path("_checkpoints", f"{name}_gated"), clean)
+        total = table.counts().agg(F.coalesce(F.sum("valid"), F.lit(0)).alias("valid"), F.coalesce(F.sum("quarantine"), F.lit(0)).alias("quarantine"))
+        counts[name] = total.first().asDict()
+    return counts
+
+
+def incremental_gold(spark: SparkSession, lake: Lake) -> IncrementalGold:
+    """The run facts by day, their states, and the marts made of these."""
+    return IncrementalGold(spark, lake.path("silver", "run_oee_by_day"), order=("ingested_at",))
+
+
+def refresh(spark: SparkSession, landing: str, lake: Lake) -> dict[str, int]:
+    """Take what has landed since the last call through all layers; returns the rows of each mart.
+
+    New files are appended to bronze, gated batch by batch, and the accepted runs upserted by ``run_id`` (the
+    one ingested last counts) into the days they belong to. Marts are rebuilt from states, of which those of
+    touched days are worked out anew; runs of other days are not read. A run keeps the cycle time its product
+    had when it was taken.
+    """
+    bronze_incremental(spark, landing, lake)
+    silver_incremental(spark, lake)
+    gold, runs = incremental_gold(spark, lake), gated_table(spark, lake, "mes_runs")
+    products = lake.read(spark, "bronze", "dim_products")
+    for batch in runs.batches(after=gold.last_batch()):
+        good = runs.read(True, [batch]).select(*schemas.RUNS.names)
+        oee = marts.run_oee(merge.latest_per_key(good, ["run_id"], ["ingested_at"]), products)
+        gold.take(oee.withColumn("run_date", F.to_date("run_date")), batch)
+    machines = lake.read(spark, "bronze", "dim_machines").select("machine_id", "machine_name", "line", "machine_type")
+    return {name: lake.write(mart, "gold", name) for name, mart in gold.marts(machines).items()}
+
+
 def machine_history(spark: SparkSession, lake: Lake, effective: date | str | None = None) -> int:
     """Apply the landed machine snapshot to the dimension's history; returns the version written."""
     snapshot = lake.read(spark, "bronze", "dim_machines").select(*schemas.MACHINES.names)

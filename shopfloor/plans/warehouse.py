@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopfloor.operators import gates, health, history, losses, marts, merge
-from shopfloor.session import stage
+from shopfloor.session import stage, work_folder
 from shopfloor.sources import catalog
+from shopfloor.sources.files import delete_path
 
 TABLES = [
     "bronze_dim_machines", "bronze_dim_products", "bronze_mes_runs", "bronze_downtime_events", "bronze_sensors",
@@ -48,9 +49,12 @@ class Warehouse:
 
     def silver(self, planned: str = "planned_min") -> None:
         raw = self.spark.table("bronze_mes_runs")
-        good, bad = gates.split(raw, gates.RUN_GATE_BASIC)
-        runs = self.save(good, "silver_mes_runs")
-        self.save(bad, "silver_mes_runs_quarantine")
+        # One pass over the raw runs writes both halves; the tables are copies of a half each.
+        halves = work_folder(self.spark, "silver-halves")
+        gates.write_split(raw, gates.RUN_GATE_BASIC, halves)
+        runs = self.save(gates.read_half(self.spark, halves, raw.schema, True), "silver_mes_runs")
+        self.save(gates.read_half(self.spark, halves, raw.schema, False), "silver_mes_runs_quarantine")
+        delete_path(self.spark, halves)
         self.save(marts.run_oee(runs, self.spark.table("bronze_dim_products"), planned), "silver_run_oee")
 
     def gold(self) -> None:

@@ -84,6 +84,41 @@ def test_incremental_bronze(spark, landing, tmp_path):
     assert medallion.silver(spark, lake)["mes_runs"] == {"valid": 22, "quarantine": 2}
 
 
+def test_daily_refresh(spark, landing, tmp_path, rows):
+    """Two days of files, the second with a late run, a corrected one that moves, and one that fails the gate."""
+    lake, whole = medallion.Lake(f"{tmp_path}/lake"), medallion.Lake(f"{tmp_path}/whole")
+    assert medallion.refresh(spark, str(landing), lake)["gold_oee_by_machine"] == 3
+    later = "2024-01-09T00:00:00+00:00"
+    _write(landing / "mes/runs_2024-01-03.json", [_run(30), _run(3, run_date="2024-01-07", downtime_min=99, ingested_at=later), _run(31, good_units=-1)])
+    for _ in range(2):
+        medallion.refresh(spark, str(landing), lake)
+        counts = medallion.gated_table(spark, lake, "mes_runs").counts().orderBy("batch").collect()
+        assert [(r.valid, r.quarantine) for r in counts] == [(21, 2), (2, 1)]
+    facts = medallion.incremental_gold(spark, lake).facts()
+    assert facts.count() == 22 and [str(r.run_date) for r in facts.filter("run_id = 'r3'").collect()] == ["2024-01-07"]
+    # The same as a full build without the run that was replaced.
+    (landing / "mes/runs_2024-01-01.json").write_text("".join(json.dumps(_run(i)) + "\n" for i in range(20) if i != 3))
+    medallion.bronze(spark, str(landing), whole)
+    medallion.silver(spark, whole)
+    medallion.machine_history(spark, whole, "2024-01-01")
+    medallion.gold(spark, whole)
+    for mart in ("gold_oee_by_machine", "gold_oee_by_line"):
+        full = whole.read(spark, "gold", mart)
+        assert rows(lake.read(spark, "gold", mart), *full.columns) == rows(full)
+
+
+def test_catalog_command(spark, landing, tmp_path, monkeypatch):
+    _write(landing / "downtime/d.json", [{"event_id": 1, "event_date": "2024-01-01", "machine_id": "M01", "reason": "Breakdown", "loss_category": "Availability", "planned_type": "Unplanned", "duration_min": 30}])
+    try:
+        main(["catalog", "--landing", str(landing), "--schema", "plant_command_test", "--location", f"{tmp_path}/wh", "--effective", "2024-01-01"])
+        assert spark.table("silver_mes_runs").count() == 21 and spark.table("silver_mes_runs_quarantine").count() == 2
+        assert spark.table("gold_loss_taxonomy").count() == 1 and spark.table("dim_machine_scd2").count() == 4
+        assert spark.table("gold_machine_health").count() > 0
+    finally:
+        catalog.use(spark, "default")
+        spark.sql("DROP SCHEMA plant_command_test CASCADE")
+
+
 def test_command_line(spark, landing, tmp_path, capsys, monkeypatch):
     main(["all", "--landing", str(landing), "--lake", f"{tmp_path}/lake", "--effective", "2024-01-01", "--infer"])
     out = capsys.readouterr().out
