@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from shopfloor.llm import words
 from shopfloor.llm.decontaminate import Words
 from shopfloor.llm.ship import beside, mapped, named
+from shopfloor.operators.joins import small
 from shopfloor.session import stage
 
 #: Kinds of the rules, in the order of their spans; then that of spans found by context.
@@ -418,7 +419,8 @@ def extract(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
             texts = found.select("_row", F.col(shown).alias("_source"), "pii_base")
             more = more.unionByName(stage(fillers_of(texts, trusted), "pii-fillers"))
     spans = F.struct(F.lit(CONTEXT).alias("kind"), "start", "end")
-    more = more.groupBy("_row").agg(F.array_sort(F.collect_set(spans)).alias("_more"))
+    # Few texts have such spans: the texts then stay where they are.
+    more = small(stage(more.groupBy("_row").agg(F.array_sort(F.collect_set(spans)).alias("_more")), "pii-more"))
     spans = F.concat("pii_base", F.coalesce(_merged(F.col("_more")), F.array().cast(T.ArrayType(SPAN))))
     return named(found.join(more, "_row", "left").withColumn("pii_spans", spans), kept, "pii_base", "pii_spans")
 
