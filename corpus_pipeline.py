@@ -85,7 +85,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (little-endian unsigned 32-bit integers), with digests of the ids and of the decoded bytes."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(docs.select("doc_id", "text"), path, pattern, layout="packed").select("doc_id", "token_ids")
+    # Written between the two, so that a task needs one Python worker at a time.
+    encoded = written(byte_bpe.encode(docs.select("doc_id", "text"), path, pattern, layout="packed").select("doc_id", "token_ids"), "encoded")
     return byte_bpe.decode(encoded, path).select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
