@@ -527,15 +527,34 @@ ORACLE: dict[str, str] = {
                   + CASE WHEN pos > n * 3 // 5 THEN 1 ELSE 0 END + CASE WHEN pos > n * 4 // 5 THEN 1 ELSE 0 END AS fold
            FROM hashed""",
     ),
-    "q_ml_predictions": sql(
+    "q_permutation_importance": sql(
+        "learning",
+        f"""SELECT feature, {r('auc', 6)} AS auc, {r('whole - auc', 6)} AS auc_drop
+            FROM (WITH placed AS (
+                      SELECT *, row_number() OVER (ORDER BY md5('42|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey)) - 1 AS place,
+                             count(*) OVER () AS n FROM learning
+                  ), dealt AS (
+                      SELECT a.label, a.quantity, a.size, b.quantity AS other_quantity, b.size AS other_size
+                      FROM placed a JOIN placed b ON b.place = (a.place + 1) % a.n
+                  ), scored AS (
+                      SELECT 'whole' AS feature, label, quantity + size AS score FROM dealt UNION ALL SELECT 'tax', label, quantity + size FROM dealt
+                      UNION ALL SELECT 'quantity', label, other_quantity + size FROM dealt UNION ALL SELECT 'size', label, quantity + other_size FROM dealt
+                  ), ranked AS (
+                      SELECT feature, label, rank() OVER (PARTITION BY feature ORDER BY score) + (count(*) OVER (PARTITION BY feature, score) - 1) / 2e0 AS place FROM scored
+                  ), aucs AS (
+                      SELECT feature, (sum(CASE WHEN label = 1 THEN place END) - sum(label) * (sum(label) + 1e0) / 2) / (sum(label) * 1e0 * sum(1 - label)) AS auc FROM ranked GROUP BY feature
+                  )
+                  SELECT a.feature, a.auc, w.auc AS whole FROM aucs a JOIN aucs w ON w.feature = 'whole' WHERE a.feature <> 'whole')""",
+    ),
+    "q_ml_prediction_checks": sql(
         "hashed",
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, true AS is_share, true AS is_likelier
            FROM hashed WHERE pos > n * 3 // 4""",
     ),
-    "q_ml_importance": """SELECT 'discount,quantity,retailprice,size,tax' AS features, 1e0 AS total,
+    "q_ml_importance_checks": """SELECT 'discount,quantity,retailprice,size,tax' AS features, 1e0 AS total,
                                  CAST(3 AS BIGINT) AS in_top, true AS top_is_largest""",
-    "q_ml_metrics": """SELECT 'predictive_maintenance_rf' AS run_name, metric, true AS fits
-                       FROM (VALUES ('test_auc'), ('precision'), ('recall'), ('f1'), ('cv_auc_mean'), ('cv_auc_std')) t(metric)""",
+    "q_ml_metric_checks": """SELECT 'predictive_maintenance_rf' AS run_name, metric, true AS fits
+                       FROM (VALUES ('test_auc'), ('precision'), ('recall'), ('f1'), ('cv_auc_mean'), ('cv_auc_std'), ('predictions_vary')) t(metric)""",
     "q_confusion_metrics": sql(
         "learning",
         f"""SELECT tp, fp, fn, tn, {r('tp * 1e0 / nullif(tp + fp, 0)', 6)} AS "precision",

@@ -672,8 +672,7 @@ def q_auc(p: Plant) -> DataFrame:
     return learning.auc(_rule_scored(p), score="score").select(steady(F.col("auc"), 6).alias("auc"))
 
 
-# Small tables need few partitions; the number is part of the result, so it is fixed.
-FOREST = learning.ForestParams(partitions=8)
+FOREST = learning.ForestParams()
 
 
 def _trained(p: Plant) -> learning.TrainedForest:
@@ -683,8 +682,37 @@ def _trained(p: Plant) -> learning.TrainedForest:
     return learning.train_and_score(frame, LEARNING_FEATURES, LEARNING_KEYS, FOREST)
 
 
+@query
+def q_permutation_importance(p: Plant) -> DataFrame:
+    """What a score from two features loses if one of them is dealt to other rows; a feature it does not use loses nothing."""
+    frame = learning.training_frame(p.learning_frame(), LEARNING_FEATURES, "label", LEARNING_KEYS)
+    found = learning.permutation_importance(
+        frame, ["quantity", "size", "tax"], LEARNING_KEYS, lambda df: df.withColumn("failure_probability", F.col("quantity") + F.col("size"))
+    )
+    return found.select("feature", steady(F.col("auc"), 6).alias("auc"), steady(F.col("drop"), 6).alias("auc_drop"))
+
+
 @query
 def q_ml_predictions(p: Plant) -> DataFrame:
+    """Keys, labels, probabilities and classes of the test part."""
+    return _trained(p).predictions.select(*LEARNING_KEYS, "label", "failure_probability", "prediction")
+
+
+@query
+def q_ml_importance(p: Plant) -> DataFrame:
+    """Every feature with its importance in the forest and its place."""
+    every = learning.importances(_trained(p).model, p.spark, LEARNING_FEATURES)
+    return ordering.with_ranks(every, "importance", descending=True, rank="place")
+
+
+@query
+def q_ml_metrics(p: Plant) -> DataFrame:
+    """Hold-out metrics and five-fold AUC, appended to a metrics table and read back."""
+    return _logged_metrics(p)[0]
+
+
+@query
+def q_ml_prediction_checks(p: Plant) -> DataFrame:
     """Keys and labels of the test part, and whether each score is a share and each class the likelier one."""
     likelier = (F.col("failure_probability") > 0.5).cast("int")
     return _trained(p).predictions.select(
@@ -693,7 +721,7 @@ def q_ml_predictions(p: Plant) -> DataFrame:
 
 
 @query
-def q_ml_importance(p: Plant) -> DataFrame:
+def q_ml_importance_checks(p: Plant) -> DataFrame:
     """The three largest importances are cut from all; these must name every feature once and sum to one."""
     model = _trained(p).model
     every = learning.importances(model, p.spark, LEARNING_FEATURES)
@@ -704,28 +732,45 @@ def q_ml_importance(p: Plant) -> DataFrame:
     )
 
 
-@query
-def q_ml_metrics(p: Plant) -> DataFrame:
-    """Hold-out metrics and five-fold AUC, appended to a metrics table, read back and held against the stored predictions."""
+def _logged_metrics(p: Plant) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The metrics table, the stored predictions and the stored scores of the folds."""
     trained = _trained(p)
-    scores = learning.cross_validate(trained.train.unionByName(trained.test), LEARNING_FEATURES, LEARNING_KEYS, params=FOREST)
+    folds = learning.fold_scores(trained.train.unionByName(trained.test), LEARNING_FEATURES, LEARNING_KEYS, params=FOREST)
+    scores = [learning.auc(folds.filter(F.col("fold") == k)).first()["auc"] for k in range(5)]
     base = work_folder(p.spark, "metrics")
     trained.predictions.write.parquet(f"{base}/predictions")
     stored = p.spark.read.parquet(f"{base}/predictions")
-    table = learning.metrics_table(p.spark, "predictive_maintenance_rf", stored, scores)
-    table.write.mode("append").parquet(f"{base}/ml_metrics")
-    known = p.spark.read.parquet(f"{base}/ml_metrics")
-    # The same figures by other ways: counts of classes, and ranks.
+    learning.metrics_table(p.spark, "predictive_maintenance_rf", stored, scores).write.mode("append").parquet(f"{base}/ml_metrics")
+    return p.spark.read.parquet(f"{base}/ml_metrics"), stored, folds
+
+
+def _rank_auc(scored: DataFrame) -> DataFrame:
+    """AUC from mean ranks of the positives."""
+    n = scored.groupBy("failure_probability").agg(F.count("*").alias("n"), F.sum("label").alias("pos"))
+    ranked = ordering.with_ranks(scored.select("failure_probability"), "failure_probability", rank="place").distinct().join(n, "failure_probability")
+    total = ranked.agg(F.sum(F.col("pos") * (F.col("place") + (F.col("n") - 1) / 2)).alias("ranks"), F.sum("pos").alias("p"), F.sum(F.col("n") - F.col("pos")).alias("q"))
+    return total.select(((F.col("ranks") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * F.col("q"))).alias("wanted"))
+
+
+@query
+def q_ml_metric_checks(p: Plant) -> DataFrame:
+    """Whether every logged figure is there and comes out again, by other ways, from stored predictions and fold scores; and whether these vary."""
+    known, stored, folds = _logged_metrics(p)
     again = stored.groupBy().agg(
         F.try_divide(F.sum(F.col("label") * F.col("prediction")), F.sum("prediction")).alias("precision"),
         F.try_divide(F.sum(F.col("label") * F.col("prediction")), F.sum("label")).alias("recall"),
         F.try_divide(2 * F.sum(F.col("label") * F.col("prediction")), F.sum("label") + F.sum("prediction")).alias("f1"),
     )
     wanted = again.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("wanted")) for m in ("precision", "recall", "f1")])))
-    fits = F.when(F.col("wanted").isNotNull(), F.abs(F.col("value") - F.col("wanted")) < 1e-9).otherwise(
-        F.col("value").isNull() | F.col("value").between(0, 1)
+    by_fold = reduce(DataFrame.unionByName, [_rank_auc(folds.filter(F.col("fold") == k)) for k in range(5)])
+    cv = by_fold.agg(F.avg("wanted").alias("cv_auc_mean"), F.stddev_pop("wanted").alias("cv_auc_std"))
+    wanted = wanted.unionByName(_rank_auc(stored).select(F.lit("test_auc").alias("metric"), "wanted")).unionByName(
+        cv.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("wanted")) for m in ("cv_auc_mean", "cv_auc_std")])))
     )
-    return known.join(F.broadcast(wanted), "metric", "left").select("run_name", "metric", fits.alias("fits"))
+    fits = F.coalesce(F.abs(F.col("value") - F.col("wanted")) < 1e-9, F.lit(False))
+    checked = known.join(F.broadcast(wanted), "metric", "left").select("run_name", "metric", fits.alias("fits"))
+    vary = stored.agg((F.count_distinct("failure_probability") > 10) & (F.count_distinct("prediction") == 2))
+    return checked.unionByName(vary.select(F.lit("predictive_maintenance_rf").alias("run_name"), F.lit("predictions_vary").alias("metric"), F.col(vary.columns[0]).alias("fits")))
 
 
 def queries() -> dict[str, Query]:
