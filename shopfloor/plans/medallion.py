@@ -16,6 +16,7 @@ from shopfloor.operators.telemetry import clean_readings
 from shopfloor.plans.refresh import IncrementalGold
 from shopfloor.sources import files
 from shopfloor.sources.versioned import VersionedTable
+from shopfloor.sources.drift import FieldLedger
 from shopfloor.streaming.gates import GatedTable, gate_available
 from shopfloor.streaming.ingest import ingest_available, landed_json
 
@@ -98,22 +99,27 @@ GATED: dict[str, tuple[Callable[[DataFrame], DataFrame], gates.Gate]] = {
 }
 
 
-def _gated(spark: SparkSession, lake: Lake) -> dict[str, tuple[DataFrame, gates.Gate]]:
-    return {name: (clean(lake.read(spark, "bronze", name)), gate) for name, (clean, gate) in GATED.items()}
+def silver(spark: SparkSession, lake: Lake, promote: bool = False) -> dict[str, dict[str, int]]:
+    """Clean, flatten and gate each source in one pass; returns valid and quarantined counts.
 
-
-def silver(spark: SparkSession, lake: Lake) -> dict[str, dict[str, int]]:
-    """Clean, flatten and gate each source in one pass; returns valid and quarantined counts."""
-    return {
-        name: gates.write_split(df, gate, lake.path("silver", name), lake.fmt)
-        for name, (df, gate) in _gated(spark, lake).items()
-    }
+    With ``promote`` the fields that no contract declares become typed columns, beside those of the flatten.
+    """
+    counts = {}
+    for name, (clean, gate) in GATED.items():
+        raw = lake.read(spark, "bronze", name)
+        df = clean(raw)
+        if promote and files.UNDECLARED in raw.columns:
+            ledger = FieldLedger(spark, lake.path("_fields", name))
+            ledger.learn(raw.select(files.UNDECLARED))
+            df = ledger.promoted(df) if files.UNDECLARED in df.columns else df
+        counts[name] = gates.write_split(df, gate, lake.path("silver", name), lake.fmt)
+    return counts
 
 
 def silver_table(spark: SparkSession, lake: Lake, name: str, quarantine: bool = False) -> DataFrame:
     """``mes_runs``, ``sensors`` or ``quality``: the accepted rows, or the quarantined ones."""
-    df, _ = _gated(spark, lake)[name]
-    return gates.read_half(spark, lake.path("silver", name), df.schema, not quarantine, lake.fmt)
+    written = lake.read(spark, "silver", name).drop("is_valid")
+    return gates.read_half(spark, lake.path("silver", name), written.schema, not quarantine, lake.fmt)
 
 
 def gated_table(spark: SparkSession, lake: Lake, name: str) -> GatedTable:

@@ -449,6 +449,10 @@ ORACLE: dict[str, str] = {
                                      WHEN event_id % 5 <> 0 AND event_id % 3 = 0
                                      THEN '{"event_id": ' || event_id || ', "value": "12a"}' END AS kept_line
                          FROM events""",
+    "q_bronze_promotion": """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'op' || (event_id % 3) ELSE CAST(event_id % 4 AS VARCHAR) END AS operator,
+                                    CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 50 AS DOUBLE) WHEN event_id % 5 = 0 THEN 1.5e0 END AS speed,
+                                    CASE WHEN event_id % 2 = 0 THEN '00' || (event_id % 5) END AS code, true AS ok,
+                                    CAST(event_id % 2 AS BIGINT) AS "left" FROM events""",
     "q_gate_halves": sql(
         "runs",
         """SELECT *, coalesce(machine_id IS NOT NULL AND product_id IS NOT NULL AND total_units > 0 AND good_units >= 0

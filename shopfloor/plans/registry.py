@@ -20,6 +20,7 @@ from shopfloor.plans.refresh import IncrementalGold
 from shopfloor.plans.warehouse import Warehouse, merge_tiers
 from shopfloor.session import stage, work_folder
 from shopfloor.sources import catalog, files
+from shopfloor.sources.drift import FieldLedger
 from shopfloor.sources.versioned import VersionedTable
 from shopfloor.streaming.gates import GatedTable, gate_available
 from shopfloor.streaming.ingest import ingest_available, landed_json
@@ -412,6 +413,25 @@ def q_bronze_drift(p: Plant) -> DataFrame:
     )
 
 
+@query
+def q_bronze_promotion(p: Plant) -> DataFrame:
+    """Two loads with undeclared fields: their types are learnt after each, widened by the second, and the fields read as columns."""
+    base = work_folder(p.spark, "promotion")
+    contract = StructType([StructField("event_id", LongType())])
+    ledger = FieldLedger(p.spark, f"{base}/fields")
+    loads = (
+        """concat('{"event_id": ', event_id, ', "operator": "op', event_id % 3, '", "speed": ', event_id % 50, ', "code": "00', event_id % 5, '", "ok": ', event_id % 2 = 0, '}')""",
+        """concat('{"event_id": ', event_id, CASE WHEN event_id % 5 = 0 THEN ', "speed": 1.5' ELSE '' END, ', "operator": ', event_id % 4, ', "late": null, "ok": true}')""",
+    )
+    for number, line in enumerate(loads):
+        p.table("events").filter(F.col("event_id") % 2 == number).select(F.expr(line).alias("value")).write.text(f"{base}/landing{number}")
+        load = files.read_landed(p.spark, f"{base}/landing{number}", contract)
+        load.write.mode("append").parquet(f"{base}/bronze")
+        ledger.learn(load)
+    raw = files.read_table(p.spark, f"{base}/bronze")
+    return ledger.promoted(raw).select("event_id", "operator", "speed", "code", "ok", F.size(files.UNDECLARED).cast("bigint").alias("left"))
+
+
 @query
 def q_gate_halves(p: Plant) -> DataFrame:
     """Both halves of the run gate, written in one pass and read back."""

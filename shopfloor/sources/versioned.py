@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.sources.files import path_exists
+from shopfloor.sources.files import delete_path, path_exists
 
 _ENTRY = "version bigint, folder string, written_at timestamp"
 
@@ -58,3 +58,19 @@ class VersionedTable:
             .parquet(f"{self.path}/versions")
         )
         return version
+
+    def retain(self, versions: int) -> list[int]:
+        """Forget and delete all but the last ``versions`` versions; returns the numbers of those that went.
+
+        The list is written first, so a version that is listed can always be read. Whoever reads a version
+        that goes must be done with it.
+        """
+        if versions < 1:
+            raise ValueError("the last version can't go")
+        entries = self.history().orderBy(F.desc("version")).collect()
+        kept, gone = entries[:versions], entries[versions:]
+        if gone:
+            self.spark.createDataFrame(kept, _ENTRY).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/versions")
+            for entry in gone:
+                delete_path(self.spark, f"{self.path}/{entry['folder']}")
+        return sorted(entry["version"] for entry in gone)
