@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +53,23 @@ def renamed(fields: list[T.StructField], names: list[str]) -> list[T.StructField
     return [T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, fields)]
 
 
+def release() -> None:
+    """Give memory that is free again back to the system: workers live on after a task, and idle ones hold what they keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; others have none
+    if trim:
+        trim(0)
+
+
 def mapped(df: DataFrame, function, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package on the workers."""
+    """``df.mapInArrow`` with this package on the workers, which give memory back after each task."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
