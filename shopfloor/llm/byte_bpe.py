@@ -3,8 +3,8 @@
 Each match of the split pattern is a piece of its own. A piece's UTF-8 bytes are written as one
 printable character each (the vocabulary's byte table) and merged by the library's BPE model, whose
 merges come from the rank file. Pieces repeat, so a task keeps the ids of pieces it has met, up to a
-bounded number. Decoding looks every id up in the table of token bytes, which reverses the byte table;
-a character whose bytes lie in several tokens is whole again in the joined bytes.
+bounded number. Decoding writes every id as its printable characters and turns these back into bytes by the
+reversed byte table; a character whose bytes lie in several tokens is whole again in the joined bytes.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from shopfloor.llm import words
 from shopfloor.llm.ship import beside, mapped, renamed
 
 #: Pieces a task remembers, and the longest of them in characters.
-KNOWN_PIECES, LONGEST_KNOWN = 100_000, 64
+KNOWN_PIECES, LONGEST_KNOWN = 50_000, 64
 
 
 def byte_characters() -> list[str]:
@@ -130,10 +130,21 @@ def token_bytes(path: str) -> list[bytes]:
     return table
 
 
+@lru_cache(maxsize=2)
+def token_characters(path: str) -> list[str]:
+    """The printable characters of each token, by rank."""
+    table = byte_characters()
+    return ["".join(table[b] for b in token) for token in token_bytes(path)]
+
+
+#: The byte table reversed: what each printable character stands for.
+_BYTE_OF = {ord(c): b for b, c in enumerate(byte_characters())}
+
+
 def decode_ids(ids: bytes, path: str) -> bytes:
     """What little-endian unsigned 32-bit ids stand for."""
-    table = token_bytes(path)
-    return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    table = token_characters(path)
+    return "".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()]).translate(_BYTE_OF).encode("latin-1")
 
 
 @lru_cache(maxsize=2)
@@ -160,16 +171,22 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", layout:
     """Add the tokens of every whole text; columns of the same names are replaced.
 
     ``layout`` "arrays" adds ``token_ids``, ``token_starts`` and ``token_ends`` (code points, end
-    exclusive); "packed" adds ``token_ids`` alone as binary, little-endian unsigned 32-bit integers. A
-    null text counts as empty and has no tokens. ``path`` must be readable on every executor.
+    exclusive); "packed" adds ``token_ids`` alone as binary, little-endian unsigned 32-bit integers, and
+    "packed with offsets" also ``token_offsets``, start and end of each token in turn, likewise. A null text counts as empty and has no tokens. ``path`` must be readable on every executor.
     """
-    if layout not in ("arrays", "packed"):
+    if layout not in ("arrays", "packed", "packed with offsets"):
         raise ValueError(f"unknown layout {layout}")
 
     def packed(texts):
         own = codec(path, pattern)
         return [pa.array([own.encode(t or "") for t in texts], pa.binary())]
 
+    def packed_with_offsets(texts):
+        own = codec(path, pattern)
+        ids = [own.encode(t or "") for t in texts]
+        places = [own.offsets(t or "", np.frombuffer(i, "<u4")) for t, i in zip(texts, ids)]
+        return [pa.array(ids, pa.binary()), pa.array([np.stack(p, 1).astype("<u4").tobytes() for p in places], pa.binary())]
+
     def arrays(texts):
         own = codec(path, pattern)
         ids = [np.frombuffer(own.encode(t or ""), "<u4").astype(np.int32) for t in texts]
@@ -181,6 +198,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", layout:
     ints = T.ArrayType(T.IntegerType())
     if layout == "packed":
         return _with(docs, text, [T.StructField("token_ids", T.BinaryType())], packed)
+    if layout == "packed with offsets":
+        return _with(docs, text, [T.StructField(c, T.BinaryType()) for c in ("token_ids", "token_offsets")], packed_with_offsets)
     return _with(docs, text, [T.StructField(c, ints) for c in ("token_ids", "token_starts", "token_ends")], arrays)
 
 

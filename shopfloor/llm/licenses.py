@@ -1,9 +1,11 @@
 """Licence notices and texts in documents, by Dice coefficient over word bigrams.
 
-A document is scanned by lines, by paragraphs (between blank lines) and as a whole. A unit of n bigrams
-can only be as like a template of m bigrams as 2 min(n, m) / (n + m), so a unit is compared with the
-templates whose size allows the threshold, and left alone if there is none. All of it is one projection:
-nothing is shuffled.
+A document is scanned by lines, by sentences, by paragraphs (between blank lines), by runs of paragraphs and
+as a whole. A unit of n bigrams can only be as like a template of m bigrams as 2 min(n, m) / (n + m), so a
+unit is compared with the templates whose size allows the threshold, and left alone if there is none. A run
+begins with a paragraph that shares a bigram with a template, and goes on for as many paragraphs as the
+sizes allow; so a licence of several paragraphs is found before or within other text. All of it is one
+projection: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -28,8 +30,11 @@ TEMPLATES = [
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
     ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.'),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-3-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("reserved", "All rights reserved."),
@@ -68,12 +73,39 @@ def normal(text: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
 
 
-def units(plain: Column) -> Column:
-    """Lines, paragraphs and the whole of a text in normal form, without line ends and outer spaces."""
-    lines = F.split(plain, "\n")
-    paragraphs = F.split(F.regexp_replace(plain, r"\n ?(\n ?)+", "\u0001"), "\u0001")
-    flat = F.transform(F.array_union(paragraphs, F.array(plain)), lambda u: F.regexp_replace(u, r"[\n ]+", " "))
-    return F.array_distinct(F.transform(F.concat(lines, flat), lambda u: F.trim(u)))
+def _flat(unit: Column) -> Column:
+    return F.trim(F.regexp_replace(unit, r"[\n ]+", " "))
+
+
+def paragraphs(plain: Column) -> Column:
+    """Paragraphs of a text in normal form that have words, without line ends and outer spaces."""
+    parts = F.split(F.regexp_replace(plain, r"\n ?(\n ?)+", "\u0001"), "\u0001")
+    return F.filter(F.transform(parts, _flat), lambda p: p != "")
+
+
+def units(text: Column, plain: Column, parts: Column) -> Column:
+    """Lines, sentences, paragraphs (``parts``) and the whole of a text in normal form, without line ends and outer spaces."""
+    lines = F.transform(F.split(plain, "\n"), lambda u: F.trim(u))
+    sentences = F.transform(F.split(F.coalesce(text, F.lit("")), r"[.!?](?=[ \t\n\f\r])"), lambda s: _flat(normal(s)))
+    return F.array_distinct(F.concat(lines, sentences, parts, F.array(_flat(plain))))
+
+
+def runs(parts: Column, words: Column, starts: Column, low: int, high: int) -> Column:
+    """Runs of two paragraphs or more of ``low`` to ``high`` bigrams that begin at ``starts``, numbers from 0.
+
+    ``words`` has the number of words before each paragraph, and of all of them.
+    """
+
+    def of(start: Column) -> Column:
+        last = F.filter(F.sequence(F.lit(0), F.size(parts)), lambda k: (k > start + 1) & (F.get(words, k) - F.get(words, start) - 1).between(low, high))
+        return F.transform(last, lambda k: F.array_join(F.slice(parts, start + 1, k - start), " "))
+
+    return F.flatten(F.transform(starts, of))
+
+
+def _bigrams(words: Column) -> Column:
+    """Bigrams of a list of words, as often as they occur."""
+    return F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda x, i: F.concat(x, F.lit(" "), F.get(words, i + 1)))
 
 
 def _bigram_count(unit: Column) -> Column:
@@ -83,7 +115,7 @@ def _bigram_count(unit: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Add ``licenses``: structs (``license``, ``dice``), one for each licence found, with its best coefficient, by licence; a column of that name is replaced.
 
-    Bigrams count as often as they occur. Null and empty texts have no licence. Equal units of a document
+    Bigrams count as often as they occur. Licences of equal coefficients are all listed. Null and empty texts have no licence. Equal units of a document
     count once. Templates of fewer than two words are refused.
     """
     known = [(name, bigrams_of(body)) for name, body in templates]
@@ -108,10 +140,21 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] =
     steps = docs.select("*", normal(F.col(f"`{text}`")).alias("_licenses_plain"))
     telling = F.array(*[F.lit(w) for w in sorted(set().union(*[telling_words(grams, threshold) for _, grams in known]))])
     hopeful = F.arrays_overlap(F.split(F.translate("_licenses_plain", "\n", " "), " "), telling)
-    steps = steps.withColumn("_licenses_units", F.when(hopeful, units(F.col("_licenses_plain"))).otherwise(F.array().cast("array<string>")))
+    none = F.array().cast("array<string>")
+    parts = F.when(hopeful, paragraphs(F.col("_licenses_plain"))).otherwise(none)
+    steps = steps.withColumn("_licenses_parts", parts).withColumn("_licenses_hopeful", hopeful)
+    steps = steps.withColumn(
+        "_licenses_words", F.aggregate("_licenses_parts", F.array(F.lit(0)), lambda done, p: F.concat(done, F.array(F.element_at(done, -1) + _bigram_count(p) + 1)))
+    )
+    # Only a few paragraphs share a bigram with a template.
+    shares = F.transform("_licenses_parts", lambda p: F.arrays_overlap(_bigrams(F.split(p, " ")), every))
+    steps = steps.withColumn("_licenses_starts", F.filter(F.transform(shares, lambda s, i: F.when(s, i)), lambda i: i.isNotNull()))
+    longer = runs(F.col("_licenses_parts"), F.col("_licenses_words"), F.col("_licenses_starts"), min(low for low, _ in sizes), max(high for _, high in sizes))
+    single = units(F.col(f"`{text}`"), F.col("_licenses_plain"), F.col("_licenses_parts"))
+    steps = steps.withColumn("_licenses_units", F.when(F.col("_licenses_hopeful"), F.array_distinct(F.concat(single, longer))).otherwise(none))
     chosen = F.filter("_licenses_units", lambda u: fits_any(_bigram_count(u)))
     worded = F.transform(chosen, lambda u: F.split(u, " "))
-    paired = F.transform(worded, lambda w: F.transform(F.slice(w, F.lit(1), F.size(w) - 1), lambda x, i: F.concat(x, F.lit(" "), F.get(w, i + 1))))
+    paired = F.transform(worded, _bigrams)
     steps = steps.withColumn("_licenses_likely", F.filter(paired, lambda b: F.arrays_overlap(b, every)))
 
     def common(b: Column, t: Column) -> Column:

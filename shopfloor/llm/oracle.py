@@ -48,13 +48,28 @@ def _templates() -> str:
 
 OP1 = rf"""
 WITH templates(license, n, low, high, grams) AS (VALUES {_templates()}),
-plain AS (
-    SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS p FROM documents
+known AS (
+    SELECT DISTINCT unnest(list_transform(grams, lambda g: g.gram)) AS gram FROM templates
+), plain AS (
+    SELECT doc_id, text, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS p FROM documents
+), cut AS (
+    SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(p, '\n ?(\n ?)+', chr(1), 'g'), chr(1)), lambda u: trim(regexp_replace(u, '[\n ]+', ' ', 'g'))), lambda u: u <> '') AS parts
+    FROM plain
+), placed AS (
+    SELECT doc_id, parts, i, string_split(parts[i], ' ') AS w FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM cut)
+), starts AS (
+    SELECT DISTINCT doc_id, parts, i FROM (SELECT doc_id, parts, i, unnest(list_transform(range(1, len(w)), lambda j: w[j] || ' ' || w[j + 1])) AS gram FROM placed) JOIN known USING (gram)
+), runs AS (
+    SELECT doc_id, array_to_string(parts[i : k], ' ') AS u FROM (SELECT doc_id, parts, i, unnest(range(i + 1, least(len(parts), i + 400) + 1)) AS k FROM starts)
 ), units AS (
     SELECT DISTINCT doc_id, trim(u) AS u FROM (
         SELECT doc_id, unnest(string_split(p, chr(10))) AS u FROM plain
         UNION ALL
         SELECT doc_id, regexp_replace(unnest(list_append(string_split(regexp_replace(p, '\n ?(\n ?)+', chr(1), 'g'), chr(1)), p)), '[\n ]+', ' ', 'g') FROM plain
+        UNION ALL
+        SELECT doc_id, regexp_replace(lower(unnest(string_split_regex(regexp_replace(coalesce(text, ''), '[.!?](\s)', chr(1) || '\1', 'g'), chr(1)))), '[^\p{{L}}\p{{N}}]+', ' ', 'g') FROM plain
+        UNION ALL
+        SELECT doc_id, u FROM runs
     )
 ), sized AS (
     SELECT doc_id, string_split(u, ' ') AS w, length(u) - length(replace(u, ' ', '')) AS n FROM units

@@ -22,7 +22,7 @@ def _remainder(of: int):
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best licence of every document, and all that it has."""
+    """The best licence of every document (ties: the last by name), and all that it has."""
     found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     best = F.array_max(F.transform("licenses", lambda x: F.struct(x["dice"].alias("dice"), x["license"].alias("license"))))
     return found.select(
@@ -35,6 +35,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of base spans of every document, their digest, and all spans; a null text has none."""
     found = pii.extract(_table(spark, sf_dir, "documents"), keep=["doc_id"])
 
     def written(spans: str):
@@ -47,6 +48,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and class of every document by a network that has seen no row whose id's crc32 is divisible by 5."""
     held_out = _remainder(5) == 0
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     net = toxicity.fit(docs.where(~held_out), _table(spark, sf_dir, "labels"))
@@ -55,6 +57,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in benchmark windows, the items these come from, and the decision."""
     marked = decontaminate.mark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     listed = F.array_join(F.array_sort(F.transform("hit_items", lambda i: i.cast("string"))), ",")
     return decontaminate.decisions(marked).select(
@@ -63,18 +66,23 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's token ids, of what they decode to, and of where tokens begin and end (pairs of code points)."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern, layout="packed").select("doc_id", "token_ids")
-    decoded = byte_bpe.decode(encoded, path)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = byte_bpe.encode(docs, path, pattern, layout="packed with offsets")
+    hashed = encoded.select("doc_id", "token_ids", F.sha2("token_offsets", 256).alias("offsets_sha256"))
+    decoded = byte_bpe.decode(hashed, path)
     return decoded.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        "offsets_sha256",
     )
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by profiles of the rows whose id's crc32 does not leave 2 of 4."""
     held_out = _remainder(4) == 2
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     profiles = langid.learn(docs.where(~held_out))
@@ -105,10 +113,12 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document; texts without words are one class."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in eight shards of nearly equal bytes."""
     return sharding.shards(_table(spark, sf_dir, "documents"), 8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -494,6 +495,48 @@ def test_licences_by_lines_paragraphs_and_whole(spark, odd, none):
         licenses.scan(odd, templates=[("x", "one")])
 
 
+def _plain_licences(text):
+    """All windows by hand: lines, sentences, paragraphs and runs of them, the whole."""
+
+    def normal(t):
+        return re.sub(r"[\W_]+", " ", t.lower()).strip()
+
+    lines = (text or "").split("\n")
+    parts = [p for p in (normal(p) for p in re.split(r"\n[^\w\n]*(?:\n[^\w\n]*)+", text or "")) if p]
+    found, grams = {}, [(name, licenses.bigrams_of(body)) for name, body in licenses.TEMPLATES]
+    whole = [" ".join(parts[i:k]) for i in range(len(parts)) for k in range(i + 1, len(parts) + 1)]
+    for unit in {normal(u) for u in [*lines, *re.split(r"[.!?](?=[ \t\n\f\r])", text or ""), *whole]}:
+        w = unit.split()
+        own = Counter(f"{a} {b}" for a, b in zip(w, w[1:]))
+        for name, g in grams:
+            dice = 2 * sum((own & g).values()) / (sum(own.values()) + sum(g.values()))
+            if dice >= 0.8:
+                found[name] = max(found.get(name, 0), dice)
+    return found
+
+
+def test_licences_are_those_of_all_windows(spark):
+    """Licences in pieces among other text: cut into paragraphs, with words lost, behind a copyright line."""
+    chance, rows = random.Random(6), []
+    code = [f"int f{k}(int x) {{ return x * {k}; }}" for k in range(40)]
+    for k, (_, body) in enumerate(licenses.TEMPLATES):
+        w = body.split()
+        third = len(w) // 3 if len(w) > 20 else len(w)
+        pieces = "\n\n".join(" ".join(p) for p in (w[:third], w[third : 2 * third], w[2 * third :]) if p)
+        rows += [
+            (4 * k, "MIT or not\n\n(c) 2020 Jane\n\n" + pieces + "\n\n" + "\n".join(code)),
+            (4 * k + 1, f"// Copyright 2020 Jane Doe. {body} More of it! And more."),
+            (4 * k + 2, "\n".join(code[:9]) + "\n \n" + " ".join(x for x in w if chance.random() > 0.06) + "\n\n\n" + "\n\n".join(code)),
+            (4 * k + 3, "\n\n".join([*code[:3], pieces, pieces, *code[:2]])),
+        ]
+    got = {r.doc_id: {x.license: round(x.dice, 9) for x in r.licenses} for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        # A run that begins with a paragraph like no template is not looked at, and never the best one.
+        assert got[i] == {name: round(d, 9) for name, d in _plain_licences(text).items()}, (i, text[:80])
+    assert all(got[4 * k][name] == 1.0 for k, (name, _) in enumerate(licenses.TEMPLATES))
+    assert got[1] == {"MIT": 1.0}
+
+
 def test_telling_words_lose_no_match():
     rng = random.Random(3)
     for _, body in licenses.TEMPLATES:

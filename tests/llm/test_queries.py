@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections import Counter
 
+import public_tokenizers
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from shopfloor.llm import oracle, queries
+from shopfloor.llm import byte_bpe, oracle, queries
 from tests.llm import plain
 from tests.oracle_check import compare, connect
 
@@ -43,6 +44,9 @@ def test_digests_follow_from_the_operators(spark):
         assert r.base_sha256 == plain.sha(own) and r.spans.startswith(own)
     for r in queries.op5_byte_bpe(spark, SMALL).collect():
         assert r.decoded_sha256 == plain.sha(docs[r.doc_id])
+    arrays = byte_bpe.encode(spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()
+    offsets = {r.doc_id: plain.sha(b"".join(x.to_bytes(4, "little") for pair in zip(r.token_starts, r.token_ends) for x in pair)) for r in arrays}
+    assert {r.doc_id: r.offsets_sha256 for r in queries.op5_byte_bpe(spark, SMALL).collect()} == offsets
     ten = queries.op10_sharding(spark, SMALL).collect()
     assert len(ten) == len(docs) and {r.law for r in ten} == {"bytes"} and {r.grown_shard for r in ten} == {None}
 
