@@ -13,12 +13,15 @@ stays within the slices, so no other exchange of texts is needed.
 from __future__ import annotations
 
 import math
+from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 from itertools import combinations
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 BITS = 64
 RADIUS, BLOCKS = 3, 6
@@ -60,8 +63,17 @@ def as_hex(fingerprint: Column) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
 
 
+def _literal(value) -> str:
+    """A number, a text or a day as SQL."""
+    if isinstance(value, str):
+        return f"cast(X'{value.encode().hex()}' AS string)"
+    if isinstance(value, int | float | Decimal):
+        return str(value)
+    return f"cast('{value}' AS {'timestamp' if isinstance(value, datetime) else 'date'})"
+
+
 def _number_below(bounds: list, value: Column) -> Column:
-    """How many of the sorted numbers lie below ``value``: first among every k-th of them, then among the k that follow."""
+    """How many of the sorted values lie below ``value``: first among every k-th of them, then among the k that follow."""
     if not bounds:
         return F.lit(0)
     k = math.isqrt(len(bounds)) + 1
@@ -70,8 +82,8 @@ def _number_below(bounds: list, value: Column) -> Column:
     def below(numbers: Column) -> Column:
         return F.size(F.filter(numbers, lambda b: b < value))
 
-    run = below(F.expr(f"array({', '.join(str(r[0]) for r in runs)})"))
-    listed = F.expr("array(" + ", ".join(f"array({', '.join(map(str, r))})" for r in runs) + ")")
+    run = below(F.expr(f"array({', '.join(_literal(r[0]) for r in runs)})"))
+    listed = F.expr("array(" + ", ".join(f"array({', '.join(map(_literal, r))})" for r in runs) + ")")
     return F.when(run == 0, 0).otherwise((run - 1) * k + below(F.get(listed, run - 1)))
 
 
@@ -81,13 +93,20 @@ def with_successors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``_pos`` is unique in a slice. A ghost is a copy of the next slice's first row, after all rows of its
     slice. Rows are ordered by id, nulls first, and rows of one id by a hash of the text. A null text
     counts as empty. ``slices`` follows the number of rows unless it is given; it changes nothing but the
-    size of tasks.
+    size of tasks. Ids may be numbers, days or texts, which are ordered by their bytes.
     """
-    slices = slices or min(max(docs.count() // ROWS_A_SLICE, 16), MOST_SLICES)
+    n_rows = docs.count()
+    slices = slices or min(max(n_rows // ROWS_A_SLICE, 16), MOST_SLICES)
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
     rows = rows.withColumn("_hash", F.xxhash64("_text"))
     steps = [k / slices for k in range(1, slices)]
-    bounds = docs.select(F.percentile_approx(F.col(f"`{doc_id}`"), steps, 5 * MOST_SLICES)).first()[0] or []
+    if isinstance(docs.schema[doc_id].dataType, StringType):
+        # Texts have no percentiles in SQL: some ids, chosen by their hash, are cut evenly. About 16 for each slice at any size.
+        some = docs.select(F.col(f"`{doc_id}`").alias("_id")).where("_id IS NOT NULL").where(F.pmod(F.xxhash64("_id"), F.lit(max(n_rows // (16 * slices), 1))) == 0)
+        ids = [r["_id"] for r in some.distinct().orderBy("_id").collect()]
+        bounds = [ids[int(len(ids) * step)] for step in steps] if ids else []
+    else:
+        bounds = docs.select(F.percentile_approx(F.col(f"`{doc_id}`"), steps, 5 * MOST_SLICES)).first()[0] or []
     bounds = sorted(set(bounds))
     rows = rows.withColumn("_slice", F.when(F.col("_id").isNull(), 0).otherwise(_number_below(bounds, F.col("_id"))))
     # One row for each slice.

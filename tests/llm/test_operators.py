@@ -475,6 +475,14 @@ def test_equal_texts_share_a_shard(docs, odd):
     assert sharding.shards(odd).count() == 9
 
 
+def test_fingerprints_of_text_and_day_ids(spark, docs):
+    """Ids that sort alike give the same, whatever their type; a quote and a backslash in an id do no harm."""
+    own = {r.doc_id: (r.edited_sha256, r._fingerprint, r.near_next) for r in fingerprints.compare_with_edits(docs.where("doc_id < 150"), slices=9).collect()}
+    for named, back in ((F.concat(F.lit("o'n\\\\e-"), F.lpad(F.col("doc_id").cast("string"), 6, "0")), lambda i: int(i[-6:])), (F.date_add(F.lit("2020-01-01").cast("date"), F.col("doc_id").cast("int")), lambda i: i.toordinal() - 737425)):
+        rows = fingerprints.compare_with_edits(docs.where("doc_id < 150").withColumn("doc_id", named), slices=9).collect()
+        assert {back(r.doc_id): (r.edited_sha256, r._fingerprint, r.near_next) for r in rows} == own
+
+
 # --- licences
 
 
