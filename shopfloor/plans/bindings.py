@@ -82,7 +82,11 @@ class Plant:
     def keyed_runs(self) -> DataFrame:
         """The gated runs with ``run_id``, ``number`` (of the order they belong to) and their month."""
         keyed = self.table("lineitem").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("run_id"), F.col("l_orderkey").alias("number"), "*"
+            F.concat_ws(
+                "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd"), F.round(F.col("l_extendedprice") * 100).cast("bigint")
+            ).alias("run_id"),
+            F.col("l_orderkey").alias("number"),
+            "*",
         )
         return self._runs_of(keyed, "run_id", "number")
 

@@ -399,7 +399,7 @@ ORACLE: dict[str, str] = {
                             GROUP BY ALL""",
     "q_stream_gate": sql(
         "runs",
-        """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS run_id, l_orderkey AS number, g.*
+        """SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(CAST(l_shipdate AS DATE), '%Y%m%d'), CAST(round(l_extendedprice * 100) AS BIGINT)) AS run_id, l_orderkey AS number, g.*
            FROM (SELECT *, CAST(l_shipdate AS DATE) AS run_date FROM lineitem) i, LATERAL (
                SELECT i.run_date, l_suppkey AS machine_id, CASE WHEN l_orderkey % 25 = 0 THEN NULL ELSE l_partkey END AS product_id,
                       CASE l_linenumber % 3 WHEN 0 THEN 'morning' WHEN 1 THEN 'afternoon' ELSE 'night' END AS shift,
@@ -535,7 +535,7 @@ ORACLE: dict[str, str] = {
         "learning",
         f"""SELECT feature, {r('auc', 6)} AS auc, {r('whole - auc', 6)} AS auc_drop
             FROM (WITH placed AS (
-                      SELECT *, row_number() OVER (ORDER BY md5('42|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey)) - 1 AS place,
+                      SELECT *, row_number() OVER (ORDER BY md5('42|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey), quantity, size, tax) - 1 AS place,
                              count(*) OVER () AS n FROM learning
                   ), dealt AS (
                       SELECT a.label, a.quantity, a.size, b.quantity AS other_quantity, b.size AS other_size
