@@ -41,6 +41,10 @@ TEMPLATES = [
 ]
 
 
+#: Words that stand in texts of all kinds.
+COMMON = {"a", "all", "and", "as", "at", "by", "for", "in", "is", "of", "on", "or", "the", "this", "to", "under", "with", "you"}
+
+
 def bigrams_of(text: str) -> Counter:
     """Bigrams of a template, in its normal form."""
     words = re.sub(r"[\W_]+", " ", text.lower()).split()
@@ -56,12 +60,12 @@ def telling_words(grams: Counter, threshold: float) -> set[str]:
     """Words of which a unit as like the template as ``threshold`` must have one.
 
     Such a unit lacks so few of the template's bigrams that it can't lack all bigrams of these words. Long
-    words come first, as they are rare elsewhere.
+    words come first, as they are rare elsewhere, and common ones last.
     """
     m = sum(grams.values())
     least_common = math.ceil(threshold * (bounds(m, threshold)[0] + m) / 2 - 1e-9)
     chosen: set[str] = set()
-    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (-len(w), w)):
+    for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (w in COMMON, -len(w), w)):
         if sum(c for g, c in grams.items() if chosen & set(g.split())) > m - least_common:
             break
         chosen.add(word)
@@ -153,7 +157,8 @@ def scan(docs: DataFrame, text: str = "text", templates: list[tuple[str, str]] =
     single = units(F.col(f"`{text}`"), F.col("_licenses_plain"), F.col("_licenses_parts"))
     steps = steps.withColumn("_licenses_units", F.when(F.col("_licenses_hopeful"), F.array_distinct(F.concat(single, longer))).otherwise(none))
     chosen = F.filter("_licenses_units", lambda u: fits_any(_bigram_count(u)))
-    worded = F.transform(chosen, lambda u: F.split(u, " "))
+    # A unit that is like a template has a telling word as well.
+    worded = F.filter(F.transform(chosen, lambda u: F.split(u, " ")), lambda w: F.arrays_overlap(w, telling))
     paired = F.transform(worded, _bigrams)
     steps = steps.withColumn("_licenses_likely", F.filter(paired, lambda b: F.arrays_overlap(b, every)))
 
