@@ -23,11 +23,11 @@ HEADLINE = [
     "q_rank_in_line", "q_loss_taxonomy", "q_downtime_pareto", "q_sensor_agg", "q_quality_agg", "q_machine_health",
     "q_failure_risk", "q_top_risk", "q_scd2_apply", "q_scd2_as_of", "q_fact_upsert", "q_bronze_json_roundtrip",
     "q_wear_percent_rank", "q_stratified_split", "q_auc", "q_scd2_merge", "q_stream_upsert", "q_stream_bronze", "q_cv_folds",
-    "q_ml_predictions",
+    "q_ml_predictions", "q_gold_incremental", "q_scd2_as_of_many", "q_stream_gate", "q_permutation_importance",
 ]
 
 # Queries that take long: timed once, without a warm-up of their own.
-SINGLE = {"q_ml_predictions"}
+SINGLE = {"q_ml_predictions", "q_gold_incremental"}
 
 
 def timed(fn, spark, sf_dir: str) -> float:
