@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -559,6 +560,70 @@ def test_telling_words_lose_no_match():
                 assert set(licenses.bigrams_of(" ".join(kept))) and telling & {w for g in licenses.bigrams_of(" ".join(kept)) for w in g.split()}
 
 
+def test_telling_bigrams_lose_no_match():
+    rng = random.Random(4)
+    for _, body in licenses.TEMPLATES:
+        grams = licenses.bigrams_of(body)
+        telling = licenses.telling_bigrams(grams, 0.8)
+        own = re.sub(r"[\W_]+", " ", body.lower()).split()
+        for _ in range(200):
+            kept = [w for w in own if rng.random() > 0.1]
+            n = Counter(f"{a} {b}" for a, b in zip(kept, kept[1:]))
+            if 2 * sum((n & grams).values()) >= 0.8 * (sum(n.values()) + sum(grams.values())) > 0:
+                assert telling & set(n)
+
+
+def test_licences_of_repeated_bigrams_and_short_paragraphs(spark):
+    """Units as the rules have them, by hand: templates that repeat bigrams, paragraphs of few words, runs over many of them."""
+    templates = [("A", "u v u v u v w"), ("B", "x y z x y"), ("C", "u v w q e f g h i j u v w q"), ("D", "x y")]
+    known = [(name, licenses.bigrams_of(body)) for name, body in templates]
+    every = {g for _, grams in known for g in grams}
+    rng, rows = random.Random(7), []
+    for k in range(300):
+        w = " ".join(body for _, body in rng.choices(templates, k=rng.randint(1, 3))).split()
+        w = [x if rng.random() > 0.08 else rng.choice("uvwxyzk") for x in w]
+        rows.append((k, "".join(x + rng.choice([" ", " ", " ", ", ", "\n", ". ", "\n\n", "\n \n\n"]) for x in w)))
+
+    def grams_of(unit):
+        return Counter(f"{a} {b}" for a, b in zip(unit.split(), unit.split()[1:]))
+
+    def found(text):
+        flat = lambda t: " ".join(re.findall(r"[a-z]+", t))
+        parts = [p for p in map(flat, re.split(r"\n ?(?:\n ?)+", text)) if p]
+        starts = [i for i, p in enumerate(parts) if set(grams_of(p)) & every]
+        cut = {flat(u) for u in [*text.split("\n"), *re.split(r"[.!?](?=\s)", text), *parts, text]}
+        out = {}
+        for unit in cut | {" ".join(parts[i:k]) for i in starts for k in range(i + 2, len(parts) + 1)}:
+            own = grams_of(unit)
+            for name, grams in known:
+                dice = 2 * sum((own & grams).values()) / (sum(own.values()) + sum(grams.values()))
+                if dice >= 0.8:
+                    out[name] = max(out.get(name, 0), round(dice, 9))
+        return out
+
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: {x.license: round(x.dice, 9) for x in r.licenses} for r in licenses.scan(frame, templates=templates).collect()}
+    assert got == {k: found(text) for k, text in rows}
+    assert len({n for x in got.values() for n in x}) == 4
+
+
+def test_a_long_paragraph_takes_no_longer_than_its_words_in_short_ones(spark):
+    words = "released under the mit license and other words of the text without a line end ".split() * 1500
+
+    def seconds(rows):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        started = time.perf_counter()
+        found = licenses.scan(frame).collect()
+        return time.perf_counter() - started, found
+
+    short = [(k, " ".join(words[k : k + 75])) for k in range(0, len(words), 75)]
+    seconds(short)
+    least, _ = seconds(short)
+    most, found = seconds([(1, " ".join(words))])
+    assert not found[0].licenses
+    assert most < 5 * max(least, 1)
+
+
 def test_size_bounds_lose_no_match():
     for n in range(1, 60):
         low, high = licenses.bounds(n, 0.8)
